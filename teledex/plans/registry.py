@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import html_queries, wiki_queries
+from . import html_queries, merge_queries, search_queries, wiki_queries
 
-_GROUPS = (html_queries, wiki_queries)
+_GROUPS = (html_queries, wiki_queries, merge_queries, search_queries)
 
 QUERIES = {name: query for group in _GROUPS for name, query in group.QUERIES.items()}
 ORACLES = {name: sql for group in _GROUPS for name, sql in group.ORACLES.items()}

@@ -23,50 +23,44 @@ MAX_TOKEN_LENGTH = 255
 
 def tokenize(text: Column) -> Column:
     """Array of tokens in text order; longer ones are split every 255 characters."""
-    tokens = F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
+    pieces = rf"(?s).{{1,{MAX_TOKEN_LENGTH}}}"
 
     def split_long(tokens: Column) -> Column:
-        pieces = F.transform(
-            tokens,
-            lambda t: F.regexp_extract_all(t, F.lit(f"(?s).{{1,{MAX_TOKEN_LENGTH}}}"), F.lit(0)),
-        )
-        return F.flatten(pieces)
+        cut = F.transform(tokens, lambda t: F.regexp_extract_all(t, F.lit(pieces), F.lit(0)))
+        has_long = F.exists(tokens, lambda t: F.octet_length(t) > MAX_TOKEN_LENGTH)
+        return F.when(has_long, F.flatten(cut)).otherwise(tokens)
 
-    has_long = text.rlike(rf"\S{{{MAX_TOKEN_LENGTH + 1}}}")
-    return F.when(has_long, split_long(tokens)).otherwise(tokens)
+    return let(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)), split_long)
 
 
 def term_groups(tokens: Column) -> Column:
-    """Group one text's tokens: array of (term, tf, positions), ordered by term.
+    """Group one text's tokens: array of (term, positions), ordered by term.
 
     A text's tokens are all in its own row, so counting them needs no shuffle: sort
     (term, position) pairs, mark where each term starts, slice the runs.
     """
-    pairs = F.sort_array(
-        F.transform(tokens, lambda t, i: F.struct(t.alias("term"), i.alias("position")))
-    )
 
     def runs(pairs: Column) -> Column:
         last = F.size(pairs)
+        starts = F.filter(
+            F.sequence(F.lit(0), last - 1),
+            lambda i: (i == 0) | (F.get(pairs, i)["term"] != F.get(pairs, i - 1)["term"]),
+        )
 
         def group(start: Column, stop: Column) -> Column:
             run = F.slice(pairs, start + 1, stop - start)
             return F.struct(
-                F.get(pairs, start)["term"].alias("term"),
-                (stop - start).alias("tf"),
-                run["position"].alias("positions"),
+                F.get(pairs, start)["term"].alias("term"), run["position"].alias("positions")
             )
 
-        first = F.filter(
-            F.sequence(F.lit(0), last - 1),
-            lambda i: (i == 0) | (F.get(pairs, i)["term"] != F.get(pairs, i - 1)["term"]),
-        )
-        return let(
-            first,
-            lambda starts: F.transform(
-                starts, lambda s, k: group(s, F.coalesce(F.get(starts, k + 1), last))
-            ),
-        )
+        def between(starts: Column) -> Column:
+            stops = F.array_append(F.slice(starts, F.lit(2), F.size(starts)), last)
+            return F.zip_with(starts, stops, group)
 
-    empty = "array<struct<term:string,tf:int,positions:array<int>>>"
-    return F.when(F.size(tokens) > 0, let(pairs, runs)).otherwise(F.array().cast(empty))
+        return let(starts, between)
+
+    empty = F.array().cast("array<struct<term:string,positions:array<int>>>")
+    numbered = F.arrays_zip(
+        tokens.alias("term"), F.sequence(F.lit(0), F.size(tokens) - 1).alias("position")
+    )
+    return F.when(F.size(tokens) > 0, let(F.sort_array(numbered), runs)).otherwise(empty)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
 from ..functions.analysis import term_groups, tokenize
-from ..storage import new_path
+from ..storage import new_path, spread
 
 # --- Fixed values: they decide the results and must stay as they are. -----------
 FIELDS = [
@@ -73,7 +73,13 @@ def build_postings(fields: DataFrame) -> DataFrame:
         F.posexplode(term_groups(F.col("tokens"))).alias("ordinal", "entry"),
     )
     return groups.select(
-        "doc_id", "field", "entry.term", "entry.tf", "length", "ordinal", "entry.positions"
+        "doc_id",
+        "field",
+        "entry.term",
+        F.size("entry.positions").alias("tf"),
+        "length",
+        "ordinal",
+        "entry.positions",
     )
 
 
@@ -111,6 +117,7 @@ def write_index(fields: DataFrame, path: str) -> SearchIndex:
     groups; the two small tables are counted from the written postings.
     """
     spark = fields.sparkSession
+    fields = spread(fields, "doc_id")
     build_postings(fields).sortWithinPartitions("field", "term").write.mode("overwrite").parquet(
         f"{path}/postings"
     )

@@ -10,10 +10,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.html import NO_KEYWORDS
+from ..storage import spread
+
+
+# Tables whose rows are rendered, parsed or analyzed: CPU-bound work per row.
+_KEYS = {"documents": "doc_id", "pages": "page_id", "part": "p_partkey"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(rows, _KEYS[name]) if name in _KEYS else rows
 
 
 def _text(*parts: Column | str) -> Column:

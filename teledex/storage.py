@@ -34,3 +34,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """For CPU-bound work on an input of fewer partitions than there are cores (a small
+    table, or files that cannot be split): repartition by key. Larger inputs, where a
+    shuffle would cost, are returned as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df

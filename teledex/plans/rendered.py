@@ -106,6 +106,18 @@ def wiki_pages(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id", page.alias("page"))
 
 
+def series_pages(part: DataFrame) -> DataFrame:
+    """``(p_partkey, page)``: a dump page for every third part, under its own name."""
+    key, name = F.col("p_partkey"), F.col("p_name")
+    page = _text(
+        "<page><title>The ", name, "</title><ns>0</ns><text>{{Infobox television\n| network = ",
+        F.col("p_brand"), "\n| first_aired = ", 1950 + F.col("p_size"), "\n| country = ",
+        F.col("p_type"), "\n| num_episodes = ", F.col("p_size"), "\n}}\nPart ", key, " '''", name,
+        "''' ", F.repeat(_text(F.col("p_type"), " "), 20), "</text></page>",
+    )
+    return part.filter(key % 3 == 0).select("p_partkey", page.alias("page"))
+
+
 def html_records(part: DataFrame) -> DataFrame:
     """HTML-side records of the match: decorated titles, integer years, some null."""
     key = F.col("p_partkey")

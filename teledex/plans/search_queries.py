@@ -280,6 +280,12 @@ def _clause_sql(musts: int, *hits: str) -> str:
             AND ({musts} > 0 OR count(*) FILTER (WHERE occur = 'should') > 0)""")
 
 
+def _single_bytes(text: str) -> str:
+    """DuckDB's levenshtein counts bytes: give each accented letter of the (lower-case)
+    texts a capital of its own, so that it counts characters."""
+    return f"translate({text}, 'áàâäãçéèêëíîïñóôöúüß', 'ABCDEFGHIJKLMNOPQRST')"
+
+
 _FIELD_TERM_SQL = _term_hits(0, "should", "[w[3]]", "plot")
 ORACLES |= {
     "search_field_term": _clause_sql(
@@ -314,9 +320,9 @@ ORACLES |= {
         _constant_hits(1, "should", "plot", "term LIKE left(w[2], 2) || '%' || right(w[2], 1) || '_'"),
     ),
     "search_fuzzy": _ITEMS
-    + _RANKED.format(f"""
+    + _RANKED.format(rf"""
         SELECT item_id AS query_id, doc_id, round(sum(idf * (1 - edits / shorter) * {_SATURATION}), 6) AS score
-        FROM (SELECT item_id, term, levenshtein(w[3] || 'x', term) AS edits,
+        FROM (SELECT item_id, term, levenshtein({_single_bytes("w[3] || 'x'")}, {_single_bytes("term")}) AS edits,
                 least(length(w[3]) + 1, length(term)) AS shorter
             FROM items, (SELECT term FROM terms WHERE field = 'plot')
             WHERE abs(length(term) - length(w[3]) - 1) <= 2)

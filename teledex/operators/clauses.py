@@ -8,7 +8,7 @@ A clause row is ``(query_id, clause_id, occur, kind, field, text, upper)``:
 ``field``  one field, or null for all
 
 Every clause is first resolved against the term dictionary; one pass over the
-postings then serves all kinds. Terms, phrases and fuzzy terms score by BM25, the
+postings then serves all word clauses, another one the phrases if there are any. Terms, phrases and fuzzy terms score by BM25, the
 pattern kinds score 1 per matching field.
 """
 
@@ -31,7 +31,6 @@ CLAUSE_SCHEMA = (
 MAX_EDITS = 2
 _LEAD = 3  # literal characters of a pattern used as join key
 _CLAUSE = ["query_id", "clause_id", "occur"]
-_RESOLVED = [*_CLAUSE, "field", "term", "weight", "constant", "slot", "slots"]
 
 
 def _scoped(clauses: DataFrame, *kinds: str) -> DataFrame:
@@ -189,40 +188,48 @@ def resolve_clauses(clauses: DataFrame, index: SearchIndex) -> DataFrame:
     return reduce(DataFrame.unionByName, [kind(clauses, dictionary) for kind in kinds])
 
 
+_PLACE = [*_CLAUSE, "field", "doc_id"]
+
+
+def _word_hits(index: SearchIndex, wanted: DataFrame) -> DataFrame:
+    """Clauses that any of their terms satisfies."""
+    rows = postings_of(index, wanted, ["tf", "length"]).join(wanted, ["field", "term"])
+    part = F.col("weight") * saturation(F.col("tf"), F.col("length"), F.col("mean_length"))
+    score = F.when(F.max("constant"), F.lit(1.0)).otherwise(F.sum(part))
+    return rows.groupBy(_PLACE).agg(score.alias("score"))
+
+
+def _phrase_hits(index: SearchIndex, wanted: DataFrame) -> DataFrame:
+    """A phrase occurs where all its words agree on where it starts."""
+    rows = postings_of(index, wanted, ["length", "positions"]).join(wanted, ["field", "term"])
+    starts = F.transform("positions", lambda p: p - F.col("slot"))
+    details = ("weight", "length", "mean_length", "slots")
+    occurrences = (
+        rows.withColumn("start", F.explode(starts))
+        .groupBy(*_PLACE, "start")
+        .agg(F.count(F.lit(1)).alias("words"), *[F.max(c).alias(c) for c in details])
+        .filter(F.col("words") == F.col("slots"))
+    )
+    frequency = F.count(F.lit(1))
+    score = F.max("weight") * saturation(frequency, F.max("length"), F.max("mean_length"))
+    return occurrences.groupBy(_PLACE).agg(score.alias("score"))
+
+
 def clause_hits(clauses: DataFrame, index: SearchIndex) -> DataFrame:
-    """``(query_id, clause_id, occur, field, doc_id, score)`` of every matching clause."""
+    """``(query_id, clause_id, occur, field, doc_id, score)`` of every matching clause.
+
+    Positions, the bulk of the postings, are read only when there are phrases.
+    """
     wanted = materialize(
         resolve_clauses(clauses, index).join(index.fields.select("field", "mean_length"), "field"),
         "clauses",
     )
-    rows = postings_of(index, wanted, ["tf", "length", "positions"]).join(wanted, ["field", "term"])
-    # A phrase occurs where all its words agree on where it starts.
-    starts = F.when(
-        F.col("slot").isNotNull(), F.transform("positions", lambda p: p - F.col("slot"))
-    ).otherwise(F.array(F.lit(None).cast("int")))
-    place = [*_CLAUSE, "field", "doc_id"]
-    part = F.col("weight") * saturation(F.col("tf"), F.col("length"), F.col("mean_length"))
-    placed = (
-        rows.withColumn("start", F.explode(starts))
-        .groupBy(*place, "start")
-        .agg(
-            F.count(F.lit(1)).alias("words"),
-            F.max("slots").alias("slots"),
-            F.max("constant").alias("constant"),
-            F.sum(part).alias("summed"),
-            *[F.max(c).alias(c) for c in ("weight", "length", "mean_length")],
-        )
-        .filter(F.col("slots").isNull() | (F.col("words") == F.col("slots")))
-    )
-    by_phrase = F.max("weight") * saturation(
-        F.count(F.lit(1)), F.max("length"), F.max("mean_length")
-    )
-    score = (
-        F.when(F.max("constant"), F.lit(1.0))
-        .when(F.max("slots").isNotNull(), by_phrase)
-        .otherwise(F.sum("summed"))
-    )
-    return placed.groupBy(*place).agg(score.alias("score"))
+    in_phrase = F.col("slot").isNotNull()
+    words = _word_hits(index, wanted.filter(~in_phrase))
+    if wanted.filter(in_phrase).isEmpty():
+        return words
+    phrases = _phrase_hits(index, wanted.filter(in_phrase))
+    return phrases if wanted.filter(~in_phrase).isEmpty() else words.unionByName(phrases)
 
 
 def search_clauses(clauses: DataFrame, index: SearchIndex, k: int = TOP_K) -> DataFrame:

@@ -10,16 +10,21 @@ from pyspark.sql import DataFrame, SparkSession
 SHARED_FOLDER_CONF = "spark.checkpoint.dir"
 
 
+_local_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary folder only for a local master."""
+    """The cluster's shared folder. Where none is set, a local master gets a temporary
+    one; a cluster must name its own."""
     folder = spark.conf.get(SHARED_FOLDER_CONF, None)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError(f"set {SHARED_FOLDER_CONF} to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="teledex-")
-    spark.conf.set(SHARED_FOLDER_CONF, folder)
-    return folder
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="teledex-")
+    return _local_folders[context.applicationId]
 
 
 def new_path(spark: SparkSession, name: str) -> str:

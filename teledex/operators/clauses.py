@@ -193,7 +193,7 @@ _PLACE = [*_CLAUSE, "field", "doc_id"]
 
 def _word_hits(index: SearchIndex, wanted: DataFrame) -> DataFrame:
     """Clauses that any of their terms satisfies."""
-    rows = postings_of(index, wanted, ["tf", "length"]).join(wanted, ["field", "term"])
+    rows = postings_of(index, wanted, ["tf", "length"])
     part = F.col("weight") * saturation(F.col("tf"), F.col("length"), F.col("mean_length"))
     score = F.when(F.max("constant"), F.lit(1.0)).otherwise(F.sum(part))
     return rows.groupBy(_PLACE).agg(score.alias("score"))
@@ -201,7 +201,7 @@ def _word_hits(index: SearchIndex, wanted: DataFrame) -> DataFrame:
 
 def _phrase_hits(index: SearchIndex, wanted: DataFrame) -> DataFrame:
     """A phrase occurs where all its words agree on where it starts."""
-    rows = postings_of(index, wanted, ["length", "positions"]).join(wanted, ["field", "term"])
+    rows = postings_of(index, wanted, ["length", "positions"])
     starts = F.transform("positions", lambda p: p - F.col("slot"))
     details = ("weight", "length", "mean_length", "slots")
     occurrences = (
@@ -220,16 +220,16 @@ def clause_hits(clauses: DataFrame, index: SearchIndex) -> DataFrame:
 
     Positions, the bulk of the postings, are read only when there are phrases.
     """
-    wanted = materialize(
-        resolve_clauses(clauses, index).join(index.fields.select("field", "mean_length"), "field"),
-        "clauses",
+    resolved = resolve_clauses(clauses, index).join(
+        index.fields.select("field", "mean_length"), "field"
     )
     in_phrase = F.col("slot").isNotNull()
-    words = _word_hits(index, wanted.filter(~in_phrase))
-    if wanted.filter(in_phrase).isEmpty():
-        return words
-    phrases = _phrase_hits(index, wanted.filter(in_phrase))
-    return phrases if wanted.filter(~in_phrase).isEmpty() else words.unionByName(phrases)
+    wanted = materialize(resolved, "clauses")
+    hits = []
+    for kind, rows in ((_word_hits, wanted.filter(~in_phrase)), (_phrase_hits, wanted.filter(in_phrase))):
+        if not rows.isEmpty():
+            hits.append(kind(index, rows))
+    return reduce(DataFrame.unionByName, hits or [_word_hits(index, wanted)])
 
 
 def search_clauses(clauses: DataFrame, index: SearchIndex, k: int = TOP_K) -> DataFrame:

@@ -32,6 +32,10 @@ BOOSTS = {
 }
 # --------------------------------------------------------------------------------
 
+# Most rows of query words that are broadcast; a row is a few numbers and one term of
+# at most 255 characters, commonly well under 100 bytes.
+BROADCAST_ROWS = 500_000
+
 # Sums of doubles depend on the order of rows; ranking on rounded scores does not.
 SCORE_DIGITS = 6
 
@@ -71,17 +75,22 @@ def query_weights(
 
 
 def postings_of(index: SearchIndex, wanted: DataFrame, columns: list[str]) -> DataFrame:
-    """Postings of the wanted ``(field, term)`` pairs, brought together by document.
+    """Rows of ``wanted``, a written table with ``(field, term)``, with their postings.
+
+    While ``wanted`` has at most :data:`BROADCAST_ROWS` rows it is broadcast, twice:
+    first to keep only the wanted postings, then, once those are partitioned by
+    document, to join them. Common terms are spread evenly that way, and all that
+    follows per document needs no further shuffle.
 
-    Partitioning by document spreads common terms evenly, and everything up to a
-    document's score then happens without another shuffle.
+    Beyond that size both sides are shuffled by term, where the run-time skew handling
+    splits the common ones.
     """
-    pairs = wanted.select("field", "term").distinct()
-    return (
-        index.postings.select("doc_id", "field", "term", *columns)
-        .join(pairs, ["field", "term"], "left_semi")
-        .repartition("doc_id")
-    )
+    keys = ["field", "term"]
+    postings = index.postings.select("doc_id", *keys, *columns)
+    if wanted.count() > BROADCAST_ROWS:
+        return postings.join(wanted, keys)
+    kept = postings.join(F.broadcast(wanted.select(*keys).distinct()), keys, "left_semi")
+    return kept.repartition("doc_id").join(F.broadcast(wanted), keys)
 
 
 def score_documents(
@@ -90,13 +99,9 @@ def score_documents(
     fields: list[str] | None = None,
     boosts: dict[str, float] | None = None,
 ) -> DataFrame:
-    """``(query_id, doc_id, score)`` for every document holding a query word.
-
-    The weights are written first: with their real size known, the optimizer
-    broadcasts them while they are small and shuffles otherwise.
-    """
+    """``(query_id, doc_id, score)`` for every document holding a query word."""
     weights = materialize(query_weights(queries, index, fields, boosts), "weights")
-    hits = postings_of(index, weights, ["tf", "length"]).join(weights, ["field", "term"])
+    hits = postings_of(index, weights, ["tf", "length"])
     part = F.col("weight") * saturation(F.col("tf"), F.col("length"), F.col("mean_length"))
     return hits.groupBy("query_id", "doc_id").agg(F.round(F.sum(part), SCORE_DIGITS).alias("score"))
 

@@ -287,7 +287,8 @@ def test_search_shuffles_postings_once(spark, index):
     assert text.count("Exchange hashpartitioning(query_id") == 1
 
 
-def test_queries_too_many_to_broadcast(spark, records, index):
+def test_queries_too_many_to_broadcast(spark, records, index, monkeypatch):
+    monkeypatch.setattr(se, "BROADCAST_ROWS", 0)
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:

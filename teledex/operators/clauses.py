@@ -181,11 +181,25 @@ def _ranges(clauses: DataFrame, dictionary: DataFrame) -> DataFrame:
     )
 
 
+_KINDS = {
+    "term": _terms,
+    "phrase": _phrases,
+    "prefix": _patterns,
+    "wildcard": _patterns,
+    "fuzzy": _fuzzy,
+    "range": _ranges,
+}
+
+
 def resolve_clauses(clauses: DataFrame, index: SearchIndex) -> DataFrame:
-    """Dictionary terms behind every clause."""
+    """Dictionary terms behind every clause. Only the kinds in use enter the plan."""
     dictionary = with_idf(index.terms, index.fields)
-    kinds = (_terms, _phrases, _patterns, _fuzzy, _ranges)
-    return reduce(DataFrame.unionByName, [kind(clauses, dictionary) for kind in kinds])
+    unknown = clauses.filter(~F.coalesce(F.col("kind").isin(list(_KINDS)), F.lit(False)))
+    if not unknown.isEmpty():
+        raise ValueError(f"clause kinds must be among {sorted(_KINDS)}")
+    used = [row.kind for row in clauses.select("kind").distinct().collect()]  # six at most
+    resolvers = dict.fromkeys(_KINDS[kind] for kind in used or ["term"])
+    return reduce(DataFrame.unionByName, [resolve(clauses, dictionary) for resolve in resolvers])
 
 
 _PLACE = [*_CLAUSE, "field", "doc_id"]
@@ -200,19 +214,22 @@ def _word_hits(index: SearchIndex, wanted: DataFrame) -> DataFrame:
 
 
 def _phrase_hits(index: SearchIndex, wanted: DataFrame) -> DataFrame:
-    """A phrase occurs where all its words agree on where it starts."""
+    """A phrase occurs where all its words agree on where it starts: per document,
+    intersect the starts that each word's positions allow."""
     rows = postings_of(index, wanted, ["length", "positions"])
-    starts = F.transform("positions", lambda p: p - F.col("slot"))
     details = ("weight", "length", "mean_length", "slots")
-    occurrences = (
-        rows.withColumn("start", F.explode(starts))
-        .groupBy(*_PLACE, "start")
-        .agg(F.count(F.lit(1)).alias("words"), *[F.max(c).alias(c) for c in details])
-        .filter(F.col("words") == F.col("slots"))
-    )
-    frequency = F.count(F.lit(1))
-    score = F.max("weight") * saturation(frequency, F.max("length"), F.max("mean_length"))
-    return occurrences.groupBy(_PLACE).agg(score.alias("score"))
+    per_document = (
+        rows.withColumn("starts", F.transform("positions", lambda p: p - F.col("slot")))
+        .groupBy(_PLACE)
+        .agg(F.collect_list("starts").alias("starts"), *[F.max(c).alias(c) for c in details])
+        .filter(F.size("starts") == F.col("slots"))
+    )
+    shared = F.aggregate(
+        F.slice("starts", F.lit(2), F.size("starts")), F.get("starts", F.lit(0)), F.array_intersect
+    )
+    score = F.col("weight") * saturation(F.col("tf"), F.col("length"), F.col("mean_length"))
+    counted = per_document.withColumn("tf", F.size(shared)).filter(F.col("tf") > 0)
+    return counted.select(*_PLACE, score.alias("score"))
 
 
 def clause_hits(clauses: DataFrame, index: SearchIndex) -> DataFrame:

@@ -183,6 +183,11 @@ def test_must_and_must_not(spark, records, index):
     assert run(spark, index, ("must", "term", "plot", "zzz"), ("should", "term", "plot", "war")) == []
 
 
+def test_unknown_kind_is_refused(spark, index):
+    with pytest.raises(ValueError, match="kinds"):
+        run(spark, index, ("must", "regex", "plot", "x"))
+
+
 @pytest.mark.parametrize("phrase", ["lost ship", "the the", "star", "the star the", "zzz star"])
 def test_phrase(spark, records, index, phrase):
     wanted = words(phrase)

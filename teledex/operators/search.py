@@ -6,6 +6,9 @@ without the constant factor k1 + 1, which does not change the order).
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,6 +39,9 @@ BOOSTS = {
 # at most 255 characters, commonly well under 100 bytes.
 BROADCAST_ROWS = 500_000
 
+# Most distinct terms that become filters of the postings scan.
+PUSHED_TERMS = 50
+
 # Sums of doubles depend on the order of rows; ranking on rounded scores does not.
 SCORE_DIGITS = 6
 
@@ -84,11 +90,17 @@ def postings_of(index: SearchIndex, wanted: DataFrame, columns: list[str]) -> Da
 
     Beyond that size both sides are shuffled by term, where the run-time skew handling
     splits the common ones.
+
+    A few terms (:data:`PUSHED_TERMS`) are also pushed into the scan as plain filters;
+    postings files are sorted by term, so it then reads little else than their pages.
     """
     keys = ["field", "term"]
     postings = index.postings.select("doc_id", *keys, *columns)
     if wanted.count() > BROADCAST_ROWS:
         return postings.join(wanted, keys)
+    few = wanted.select("term").distinct().limit(PUSHED_TERMS + 1).collect()
+    if 0 < len(few) <= PUSHED_TERMS:
+        postings = postings.filter(reduce(or_, [F.col("term") == row.term for row in few]))
     kept = postings.join(F.broadcast(wanted.select(*keys).distinct()), keys, "left_semi")
     return kept.repartition("doc_id").join(F.broadcast(wanted), keys)
 

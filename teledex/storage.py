@@ -41,9 +41,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """For CPU-bound work on an input of fewer partitions than there are cores (a small
-    table, or files that cannot be split): repartition by key. Larger inputs, where a
-    shuffle would cost, are returned as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """For CPU-bound work on a scan of fewer partitions than there are cores (a small
+    table, or files that cannot be split): repartition by key. Larger scans, where a
+    shuffle would cost, are returned as they are.
+
+    ``scan`` must be a plain scan: for one, counting partitions only lists files.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan

@@ -292,8 +292,15 @@ def test_search_shuffles_postings_once(spark, index):
     assert text.count("Exchange hashpartitioning(query_id") == 1
 
 
+def test_few_terms_reach_the_scan(spark, index):
+    queries = spark.createDataFrame([(1, "lost ship")], "query_id bigint, text string")
+    text = plan(se.search(queries, index))
+    assert re.search(r"PushedFilters: \[[^\]]*Or\(EqualTo\(term,\w+\),EqualTo\(term,\w+\)\)", text)
+
+
 def test_queries_too_many_to_broadcast(spark, records, index, monkeypatch):
     monkeypatch.setattr(se, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(se, "PUSHED_TERMS", 0)
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:

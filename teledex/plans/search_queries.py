@@ -9,6 +9,8 @@ from ..functions.analysis import tokenize as tokens_of
 from ..operators import index as ix
 from ..operators import search as se
 from ..operators.clauses import search_clauses
+from ..schemas import WIKI_RECORD
+from ..sources.jsonl import read_numbered_jsonl, write_jsonl
 from ..storage import new_path
 from .rendered import benchmark_queries, catalogue, table
 
@@ -41,6 +43,17 @@ def tokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def jsonl_line_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records written in order, read back with their line numbers as ids."""
+    path = new_path(spark, "numbered")
+    titles = table(spark, sf_dir, "documents").select(
+        "doc_id", F.col("source").alias("network"), F.col("text").alias("plot")
+    )
+    ordered = titles.repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id")
+    write_jsonl(ordered.drop("doc_id"), path)
+    return read_numbered_jsonl(spark, path, WIKI_RECORD).select("doc_id", "network", "plot")
+
+
 def search_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ix.search_fields(_records(spark, sf_dir))
 
@@ -153,6 +166,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         tokenize,
+        jsonl_line_numbers,
         search_docs,
         build_postings,
         field_stats,
@@ -233,6 +247,9 @@ ORACLES = {
     "tokenize": f"""
         SELECT doc_id, CAST(len(t) AS INTEGER) AS n_tokens, array_to_string(t, ' ') AS tokens
         FROM (SELECT doc_id, {_tokens("text")} AS t FROM documents)""",
+    "jsonl_line_numbers": """
+        SELECT row_number() OVER (ORDER BY doc_id) - 1 AS doc_id, source AS network, text AS plot
+        FROM documents""",
     "search_docs": _DOCS,
     "build_postings": f"""{_WITH}
         SELECT doc_id, field, term, CAST(count(*) AS INTEGER) AS tf,
@@ -276,7 +293,8 @@ def _term_hits(clause: int, occur: str, word: str, field: str | None) -> str:
 
 def _constant_hits(clause: int, occur: str, field: str, condition: str) -> str:
     return f"""
-        SELECT DISTINCT item_id AS query_id, {clause} AS clause_id, '{occur}' AS occur, doc_id, 1.0 AS score
+        SELECT DISTINCT item_id AS query_id, {clause} AS clause_id, '{occur}' AS occur, doc_id,
+            CAST(1.0 AS DOUBLE) AS score
         FROM items JOIN postings ON field = '{field}' AND ({condition})"""
 
 

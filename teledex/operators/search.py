@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.analysis import tokenize
 from ..functions.regex import strip
-from ..storage import materialize
+from ..storage import BROADCAST_ROWS, materialize
 from .index import SearchIndex, with_idf
 
 # --- Fixed values: they decide the results and must stay as they are. -----------
@@ -35,10 +35,6 @@ BOOSTS = {
 }
 # --------------------------------------------------------------------------------
 
-# Most rows of query words that are broadcast; a row is a few numbers and one term of
-# at most 255 characters, commonly well under 100 bytes.
-BROADCAST_ROWS = 500_000
-
 # Most distinct terms that become filters of the postings scan.
 PUSHED_TERMS = 50
 
@@ -83,7 +79,7 @@ def query_weights(
 def postings_of(index: SearchIndex, wanted: DataFrame, columns: list[str]) -> DataFrame:
     """Rows of ``wanted``, a written table with ``(field, term)``, with their postings.
 
-    While ``wanted`` has at most :data:`BROADCAST_ROWS` rows it is broadcast, twice:
+    While ``wanted`` has at most ``BROADCAST_ROWS`` rows it is broadcast, twice:
     first to keep only the wanted postings, then, once those are partitioned by
     document, to join them. Common terms are spread evenly that way, and all that
     follows per document needs no further shuffle.

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.regex import strip
+from ..storage import broadcast_checked, materialize
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -31,7 +32,8 @@ def _numbered_lines(lines: DataFrame) -> DataFrame:
     """``(line_number, value)``: 0-based, in (file, offset) order, blank lines counted.
 
     Line order within an input block comes for free; only one row per block (its
-    line count) is sorted to turn it into a global number.
+    line count) is sorted to turn it into a global number. Those rows are written first,
+    so that lines are joined with them where they were read.
     """
     block = ["path", "block"]
     placed = lines.select(
@@ -45,6 +47,7 @@ def _numbered_lines(lines: DataFrame) -> DataFrame:
     starts = blocks.select(
         *block, "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset")
     )
+    starts = broadcast_checked(materialize(starts, "line-offsets"))
     return placed.join(starts, block).select(
         (F.col("seq") - F.col("first") + F.col("offset")).alias("line_number"), "value"
     )

@@ -6,6 +6,11 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# Most rows of a narrow table (numbers and short strings, commonly under 100 bytes a
+# row) that are broadcast.
+BROADCAST_ROWS = 500_000
 
 SHARED_FOLDER_CONF = "spark.checkpoint.dir"
 
@@ -41,6 +46,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def broadcast_checked(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A written table, marked for broadcast when it has at most ``max_rows`` rows; else
+    the join is left to the optimizer."""
+    return F.broadcast(table) if table.count() <= max_rows else table
+
+
 def spread(scan: DataFrame, key: str) -> DataFrame:
     """For CPU-bound work on a scan of fewer partitions than there are cores (a small
     table, or files that cannot be split): repartition by key. Larger scans, where a

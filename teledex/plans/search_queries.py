@@ -268,7 +268,8 @@ ORACLES = {
             CAST(n_chars AS VARCHAR) AS num_episodes, CAST(length(text) AS BIGINT) AS n_plot
         FROM ({_bm25()}) h JOIN documents d ON h.doc_id = d.doc_id""",
     "search_report": f"""{_WITH}
-        SELECT query_id, rank, h.doc_id, printf('%.2f', score) AS relevance,
+        SELECT query_id, rank, h.doc_id, CAST(CAST(CAST(score AS DECIMAL(18,6)) AS DECIMAL(18,2)) AS VARCHAR)
+                AS relevance,
             'Doc ' || h.doc_id || ' (' || (1950 + h.doc_id % 70) || ')' AS heading,
             'N/A' AS certification, lang AS language, source || ', ' || lang AS genres,
             CAST(h.doc_id % 5 AS VARCHAR) AS user_rating,

@@ -254,9 +254,11 @@ ORACLES = {
                 || repeat('}}', CAST(doc_id % 7 - 4 AS INTEGER)) END AS stripped
         FROM documents""",
     "strip_tags": "SELECT page_id, regexp_replace(html, '<[^>]+>', '', 'g') AS stripped FROM pages",
+    # These four also count without a semicolon, as where a title was cut off.
     "unescape_entities": """
-        SELECT page_id, replace(replace(replace(replace(html, '&middot;', '·'), '&copy;', '©'),
-            '&quot;', '"'), '&amp;', '&') AS decoded
+        SELECT page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,
+            '&middot;?', '·', 'g'), '&copy;?', '©', 'g'), '&quot;?', '"', 'g'),
+            '&amp;?', '&', 'g') AS decoded
         FROM pages""",
     "wiki_markup": """
         SELECT doc_id, source || ' ' || lang || ' ' || source || ' ' || text || ' ' || lang || ' b|c' AS plain

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import read
 from .exact_dedup import judge_duplicates
 from .mixing import mix
+from .ngram_join import near_groups
 from .packing import pack
 from .quality import judge_quality
 
@@ -19,6 +20,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_duplicates(read(spark, sf_dir, "documents")).drop("hash")
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(read(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -30,6 +35,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_ngram_join": op3_ngram_join,
     "op9_quality": op9_quality,
     "op10_mixing": op10_mixing,
 }

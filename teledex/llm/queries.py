@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import read
 from .exact_dedup import judge_duplicates
@@ -10,6 +11,9 @@ from .mixing import mix
 from .ngram_join import near_groups
 from .packing import pack
 from .quality import judge_quality
+from .sentence_spans import remove_repeats
+from .sharding import assign_shards
+from .token_store import stored
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +28,19 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(read(spark, sf_dir, "documents"), words=4, percent=85)
 
 
+def op4_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assign_shards(read(spark, sf_dir, "documents"))
+
+
+def op6_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = remove_repeats(read(spark, sf_dir, "documents"), counts=True)
+    return cut.select("doc_id", "n_sentences", "n_removed", F.sha2(F.col("text"), 256).alias("kept_sha256"))
+
+
+def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored(read(spark, sf_dir, "documents"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -36,6 +53,9 @@ QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_ngram_join": op3_ngram_join,
+    "op4_hilbert_sharding": op4_hilbert_sharding,
+    "op6_sentence_spans": op6_sentence_spans,
+    "op7_token_store": op7_token_store,
     "op9_quality": op9_quality,
     "op10_mixing": op10_mixing,
 }

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..storage import materialize
-from .common import filled, in_order
+from .common import filled, in_order, spare
 
 BITS = 5
 
@@ -109,6 +109,9 @@ def assign_shards(
 
 def write_shards(docs: DataFrame, path: str, shards: int, dimensions: list[str]) -> None:
     """Whole rows as Parquet, a folder a shard, in the curve's order, runs of equal rows."""
-    placed = in_order(materialize(on_curve(docs, dimensions), "curved"), ["curve"], "curve-order")
-    rows = max(placed.count(), 1)
-    placed.withColumn("shard", F.expr(f"CAST((position * {shards}L) div {rows}L AS INT)")).drop("position").write.partitionBy("shard").parquet(path)
+    rows = docs.select(F.struct("*").alias("row"), *[ordinal(docs, d).alias(f"dim_{d}") for d in dimensions])
+    curved = on_curve(rows, [f"dim_{d}" for d in dimensions]).select("row", "curve")
+    placed = in_order(materialize(curved, "curved"), ["curve"], "curve-order")
+    count, (shard,) = max(placed.count(), 1), spare(docs, "shard")
+    placed = placed.select("row.*", F.expr(f"CAST((position * {shards}L) div {count}L AS INT)").alias(shard))
+    placed.write.partitionBy(shard).parquet(path)

@@ -20,5 +20,5 @@ def rows():
 
 def table(spark: SparkSession, given=None):
     given = rows() if given is None else given
-    df = spark.createDataFrame([(a, b, c, d, "h", 1, "p") for a, b, c, d in given], "doc_id bigint, text string, source string, score bigint, hash string, position int, `group` string")
+    df = spark.createDataFrame([(a, b, c, d, "h", 1, "p", "en") for a, b, c, d in given], "doc_id bigint, text string, source string, score bigint, hash string, position int, `group` string, lang string")
     return df.repartition(3)

@@ -11,7 +11,16 @@ from pyspark.sql import functions as F
 from ..storage import materialize
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Hands texts to Python workers in small batches, where the session sets no size:
+    a worker's memory follows the batch, and texts can be long."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name)) == 10_000:
+        spark.conf.set(name, rows)
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 

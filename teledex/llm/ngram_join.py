@@ -47,7 +47,7 @@ class _Words(dict):
     """Hashes of words seen by this worker; cleared when it grows large."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
+        if len(self) > 200_000:
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word)
         return value
@@ -157,23 +157,30 @@ def _classes(docs: DataFrame, words: int, percent: int, frequent: np.ndarray) ->
 
 
 def _filtered(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs that may link by size and by the second and third orders' prefixes."""
+    """Pairs that may link by size, and by the second and the third order's prefixes. The
+    narrow test comes first, so few pairs get the prefixes attached."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            keep = []
-            for n, m, *orders in zip(batch["n_a"], batch["n_b"], batch["second_a"], batch["second_b"], batch["third_a"], batch["third_b"]):
-                near = 100 * min(n, m) >= percent * max(n, m)
-                if near:
+    def side(s: str, *columns: str) -> DataFrame:
+        return classes.select(F.col("c").alias(s), *[F.col(x).alias(f"{x}_{s}") for x in columns])
+
+    def agree(order: str):
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                keep = []
+                for n, m, a, b in zip(batch["n_a"], batch["n_b"], batch[f"{order}_a"], batch[f"{order}_b"]):
                     # |A ^ B| <= (1 - t) / (1 + t) * (|A| + |B|)
                     allowed = (100 - percent) * (n + m) // (100 + percent)
-                    a2, b2, a3, b3 = (np.frombuffer(x, np.uint32) for x in orders)
-                    near = _may_link(a2, b2, allowed) and _may_link(a3, b3, allowed)
-                keep.append(bool(near))
-            yield batch.loc[np.array(keep, bool), ["a", "b"]]
+                    keep.append(_may_link(np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32), allowed))
+                yield batch.loc[np.array(keep, bool), ["a", "b", "n_a", "n_b"]]
+
+        return run
 
-    side = lambda s: classes.select(F.col("c").alias(s), *[F.col(x).alias(f"{x}_{s}") for x in ("n", "second", "third")])
-    return materialize(pairs.join(side("a"), "a").join(side("b"), "b").mapInPandas(run, "a bigint, b bigint"), "filtered")
+    sized = pairs.join(side("a", "n"), "a").join(side("b", "n"), "b")
+    left = materialize(sized.filter(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"), "sized-pairs")
+    for order in ("second", "third"):
+        both = left.join(side("a", order), "a").join(side("b", order), "b")
+        left = materialize(both.mapInPandas(agree(order), "a bigint, b bigint, n_a bigint, n_b bigint"), f"pairs-{order}")
+    return left.select("a", "b")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -213,11 +220,12 @@ def _ordered(a: str, b: str) -> list:
 def _links(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
     """Links between classes: enough of them to join all that belong together."""
     entries = classes.select(F.explode("prefix").alias("token"), "c")
-    groups = entries.groupBy("token").agg(F.count("*").alias("size"), F.min("c").alias("low"), F.max("c").alias("high"))
-    shared = materialize(entries.join(groups.filter("size > 1"), "token"), "shared-shingles")
+    groups = entries.groupBy("token").agg(F.count("*").alias("size")).filter("size > 1")
+    shared = materialize(entries.join(groups, "token"), "shared-shingles")
     # First every member of a group with the group's first and last.
-    ends = F.explode(F.array("low", "high")).alias("end")
-    tested = shared.select("c", ends).filter("c <> end").select(*_ordered("c", "end")).distinct()
+    ends = shared.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high"))
+    paired = shared.select("token", "c").join(ends, "token")
+    tested = paired.select("c", F.explode(F.array("low", "high")).alias("end")).filter("c <> end").select(*_ordered("c", "end")).distinct()
     tested = materialize(tested, "first-pairs")
     passed = _filtered(tested, classes, percent)
     named = classes.select("c", "class_hash", "doc_id")

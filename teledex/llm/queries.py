@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read
+from .embedding_pairs import near_vectors
 from .exact_dedup import judge_duplicates
 from .mixing import mix
 from .ngram_join import near_groups
@@ -13,6 +14,7 @@ from .packing import pack
 from .quality import judge_quality
 from .sentence_spans import remove_repeats
 from .sharding import assign_shards
+from .suffix_dedup import cut_repeats
 from .token_store import stored
 
 
@@ -32,6 +34,11 @@ def op4_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(read(spark, sf_dir, "documents"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = cut_repeats(read(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
+
+
 def op6_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = remove_repeats(read(spark, sf_dir, "documents"), counts=True)
     return cut.select("doc_id", "n_sentences", "n_removed", F.sha2(F.col("text"), 256).alias("kept_sha256"))
@@ -41,6 +48,10 @@ def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored(read(spark, sf_dir, "documents"))
 
 
+def op8_embedding_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(read(spark, sf_dir, "embeddings"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -54,8 +65,10 @@ QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_ngram_join": op3_ngram_join,
     "op4_hilbert_sharding": op4_hilbert_sharding,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_sentence_spans": op6_sentence_spans,
     "op7_token_store": op7_token_store,
+    "op8_embedding_pairs": op8_embedding_pairs,
     "op9_quality": op9_quality,
     "op10_mixing": op10_mixing,
 }

@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Chunks remembered by a worker, and bytes of text handled at once.
-REMEMBERED, AT_ONCE = 400_000, 4 << 20
+REMEMBERED, AT_ONCE = 150_000, 3 << 20
 _MARK = "\x01"
 _encoders: dict[str, "ChunkEncoder"] = {}
 

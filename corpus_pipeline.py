@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from teledex.llm.common import read
 from teledex.llm.exact_dedup import exact_dedup
 from teledex.llm.mixing import mix
 from teledex.llm.ngram_join import near_dedup
@@ -14,7 +15,7 @@ from teledex.storage import materialize
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the classifier doesn't reject."""
-    return keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return keep_good(docs, read(spark, sf_dir, "labels"))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +45,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
     return docs

@@ -19,8 +19,11 @@ from pyspark.sql import functions as F
 from ..storage import materialize
 from .components import components
 
-#: Pivots (a bounded sample of the vectors, chosen by hash), described and shared pivots.
+#: Pivots, and of these how many describe a vector and how many must be shared. Pivots are
+#: picked from a bounded sample of SAMPLE vectors, taken by hash, none within APART of
+#: another: several in one dense group would order its members by chance.
 PIVOTS, NEAREST, SHARED = 256, 6, 3
+SAMPLE, APART = 4096, 0.8
 #: Members of a list that are compared at once.
 BLOCK = 128
 
@@ -29,6 +32,20 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
+def spread_pivots(sample: np.ndarray, count: int) -> np.ndarray:
+    """The first ``count`` unit vectors of a sample whose cosine with those taken before
+    stays below APART."""
+    unit = _unit(sample)
+    open_ = np.ones(len(unit), bool)
+    taken: list[int] = []
+    while open_.any() and len(taken) < count:
+        i = int(np.argmax(open_))
+        taken.append(i)
+        open_ &= unit @ unit[i] < APART
+        open_[i] = False
+    return unit[taken]
+
+
 def permutation_prefix(vectors: np.ndarray, pivots: np.ndarray, nearest: int = NEAREST) -> np.ndarray:
     """Per vector its nearest pivots by cosine, nearest first, ties by number."""
     return np.argsort(-(_unit(vectors) @ pivots.T), axis=1, kind="stable")[:, :nearest]
@@ -96,8 +113,8 @@ def near_vectors(
     links = None
     for row in entries.groupBy(F.size("embedding").alias("width")).count().collect():  # one row a vector length
         own = entries.filter(F.size("embedding") == row.width)
-        sample = own.orderBy(F.xxhash64("embedding"), "c").limit(pivots).collect()
-        points = _unit(np.array([r.embedding for r in sample], np.float64))
+        sample = own.orderBy(F.xxhash64("embedding"), "c").limit(SAMPLE).collect()
+        points = spread_pivots(np.array([r.embedding for r in sample], np.float64), pivots)
         found = _compared(_lists(own, points, nearest, shared), cosine)
         links = found if links is None else links.unionByName(found)
     if links is None:

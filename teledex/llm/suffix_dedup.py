@@ -104,8 +104,9 @@ def _filter_of(repeated: DataFrame) -> np.ndarray:
     """A bitmap with a bit for each repeated anchor; bounded, as its size is."""
     wanted = 1 << max(1, 16 * repeated.count()).bit_length()
     bits = min(max(wanted, FILTER_BITS[0]), FILTER_BITS[1])
-    place = F.col("anchor").bitwiseAND(F.lit(bits - 1))
-    words = repeated.groupBy(F.shiftright(place, 5).alias("word")).agg(F.bit_or(F.shiftleft(F.lit(1).cast("bigint"), place.bitwiseAND(F.lit(31)).cast("int"))).alias("bits"))
+    place = f"(anchor & {bits - 1}L)"
+    bit = F.expr(f"bit_or(shiftleft(1L, CAST({place} & 31 AS INT)))").alias("bits")
+    words = repeated.groupBy(F.expr(f"shiftright({place}, 5)").alias("word")).agg(bit)
     out = np.zeros(bits // 32, np.uint32)
     for part in words.toLocalIterator():
         out[part["word"]] = part["bits"] & 0xFFFFFFFF

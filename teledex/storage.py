@@ -43,7 +43,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.written_to = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes tables that ``materialize`` wrote, once nothing reads them any more."""
+    for table in tables:
+        context = table.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(table.written_to)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def broadcast_checked(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:

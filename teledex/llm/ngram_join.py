@@ -23,13 +23,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..storage import materialize
+from ..storage import discard, materialize
 from .common import spare
 from .components import components
 
 #: Shingles counted as frequent: in at least so many documents, and at least this part of
 #: all shingle occurrences, so that no more than its reciprocal can be frequent.
-FREQUENT, FREQUENT_PART = 100, 1 / 200_000
+FREQUENT, FREQUENT_PART = 20, 1 / 2_000_000
+COUNTED_AT_ONCE = 4_000_000
 #: Groups above this size are divided further by the second order's prefix shingles.
 LARGE_GROUP = 200
 
@@ -97,18 +98,35 @@ def _may_link(a: np.ndarray, b: np.ndarray, allowed: int) -> bool:
 
 def _shingled(docs: DataFrame, words: int) -> DataFrame:
     """A row per document (doc_id, n, class_hash), and rows with n = -1 that hold shingles
-    found in several documents of a batch, and how many."""
+    found in several documents of a task (or of each so many of its shingles)."""
+
+    def several(held: list[np.ndarray], like: pd.Series) -> Iterator[pd.DataFrame]:
+        tokens, counts = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.uint64), np.zeros(0, int))
+        tokens, counts = tokens[counts > 1].view(np.int64), counts[counts > 1]
+        held.clear()
+        if len(tokens):
+            none = pd.Series([None], dtype="object" if like.dtype == object else "Int64")
+            yield pd.DataFrame({"doc_id": none, "n": [-1], "class_hash": [b""], "tokens": [tokens], "counts": [counts]})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[np.ndarray] = []
+        seen: set[bytes] = set()
+        size, like = 0, pd.Series([0])
         for batch in batches:
+            like = batch["doc_id"]
             sets = [shingles(x, words) for x in batch["text"]]
             hashes = [xxhash.xxh3_128_digest(x.tobytes()) for x in sets]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "n": [len(x) for x in sets], "class_hash": hashes, "tokens": None, "counts": None})
-            distinct = list({h: x for h, x in zip(hashes, sets)}.values())
-            tokens, counts = np.unique(np.concatenate(distinct), return_counts=True) if distinct else (np.zeros(0, np.uint64), np.zeros(0, int))
-            tokens, counts = tokens[counts > 1].view(np.int64), counts[counts > 1]
-            if len(tokens):
-                yield pd.DataFrame({"doc_id": pd.Series([None], dtype=batch["doc_id"].dtype if batch["doc_id"].dtype == object else "Int64"), "n": [-1], "class_hash": [b""], "tokens": [tokens], "counts": [counts]})
+            yield pd.DataFrame({"doc_id": like, "n": [len(x) for x in sets], "class_hash": hashes, "tokens": None, "counts": None})
+            for name, own in zip(hashes, sets):
+                if name not in seen:
+                    seen.add(name)
+                    held.append(own)
+                    size += len(own)
+            if size > COUNTED_AT_ONCE:
+                yield from several(held, like)
+                seen.clear()
+                size = 0
+        yield from several(held, like)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.mapInPandas(run, f"doc_id {kind}, n bigint, class_hash binary, tokens array<bigint>, counts array<bigint>")
@@ -116,7 +134,7 @@ def _shingled(docs: DataFrame, words: int) -> DataFrame:
 
 def _frequent(shingled: DataFrame) -> np.ndarray:
     """The frequent shingles, sorted: at most 1 / FREQUENT_PART. Counts come from all
-    documents, less the shingles a batch holds only once; any set gives right results, as
+    documents, less the shingles a task holds only once; any set gives right results, as
     it only changes the order."""
     total = shingled.filter("n > 0").agg(F.sum("n").alias("n")).first().n or 0
     least = max(FREQUENT, int(total * FREQUENT_PART))
@@ -218,7 +236,8 @@ def _ordered(a: str, b: str) -> list:
 
 
 def _links(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links between classes: enough of them to join all that belong together."""
+    """Links between classes, written: enough to join all that belong together. Other
+    tables on the way are removed."""
     entries = classes.select(F.explode("prefix").alias("token"), "c")
     groups = entries.groupBy("token").agg(F.count("*").alias("size")).filter("size > 1")
     shared = materialize(entries.join(groups, "token"), "shared-shingles")
@@ -242,13 +261,17 @@ def _links(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> Dat
     small = open_.filter(F.col("size") <= LARGE_GROUP).select(F.col("token").alias("key"), "c", "root")
     large = open_.filter(F.col("size") > LARGE_GROUP).join(classes.select("c", _words_of("second").alias("others")), "c")
     large = large.withColumn("other", F.explode("others")).select(F.xxhash64("token", "other").alias("key"), "c", "root")
-    keyed = small.unionByName(large)
-    left, right = keyed.toDF("key", "c1", "root1"), keyed.toDF("key", "c2", "root2")
-    cross = left.join(right, "key").filter("c1 < c2 AND root1 <> root2").select(F.col("c1").alias("a"), F.col("c2").alias("b")).distinct()
+    keyed = small.unionByName(large).join(classes.select("c", "n"), "c").select("key", "c", "root", "n")
+    left, right = keyed.toDF("key", "c1", "root1", "n1"), keyed.toDF("key", "c2", "root2", "n2")
+    near = f"c1 < c2 AND root1 <> root2 AND 100 * least(n1, n2) >= {percent} * greatest(n1, n2)"
+    cross = left.join(right, "key").filter(near).select(F.col("c1").alias("a"), F.col("c2").alias("b")).distinct()
     cross = _filtered(cross.join(tested, ["a", "b"], "left_anti"), classes, percent)
     more = named.join(ids(cross), "c", "left_semi").join(wanted, "c", "left_anti")
-    sets = sets.unionByName(_sets(docs, materialize(more, "wanted"), words))
-    return links.unionByName(_verified(cross, sets, percent))
+    more = materialize(more, "wanted")
+    further = _sets(docs, more, words)
+    found = materialize(links.unionByName(_verified(cross, sets.unionByName(further), percent)), "all-links")
+    discard(shared, tested, wanted, sets, open_, more, further)
+    return found
 
 
 def _words_of(column: str):
@@ -274,6 +297,7 @@ def near_groups(docs: DataFrame, words: int = 4, percent: int = 85, id_col: str
     named = named.select("class_hash", F.coalesce("root", "c").alias("root"))
     rooted = materialize(members.join(named, "class_hash", "left"), "rooted")
     least = rooted.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("least"))
+    discard(shingled, classes)
     out = rooted.join(least, "root", "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
 

@@ -82,11 +82,12 @@ def _numeric(token: Column) -> Column:
 def _by_name(token: Column) -> Column:
     body = F.substring(token, 2, 40)
     bare = F.regexp_extract(body, f"^(?:{_BARE})", 0)
+    # Without a semicolon only the bare names can match, so other names look nothing up.
     return F.coalesce(
-        F.try_element_at(_named(), body),
-        F.concat(
-            F.try_element_at(_named(), bare),
-            F.substr(body, F.length(bare) + 1),
+        F.when(body.endswith(";"), F.try_element_at(_named(), body)),
+        F.when(
+            bare != "",
+            F.concat(F.try_element_at(_named(), bare), F.substr(body, F.length(bare) + 1)),
         ),
         token,
     )

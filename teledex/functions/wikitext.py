@@ -7,6 +7,7 @@ All functions are Column expressions. Values used more than once are bound with
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from functools import reduce
 from operator import and_, or_
 
@@ -73,8 +74,15 @@ def _any(conditions: list[Column]) -> Column:
     return reduce(or_, conditions)
 
 
+def _up_to_last(text: Column, end: str, change: Callable[[Column], Column]) -> Column:
+    """Applies a change to the text up to its last ``end``. Behind it no pattern closed by
+    ``end`` can match, and trying from every opening would cost the square of its length."""
+    rest = F.substring_index(text, end, -1)
+    return F.concat(change(F.left(text, F.length(text) - F.length(rest))), rest)
+
+
 def strip_comments(text: Column) -> Column:
-    return sub(text, HTML_COMMENT, "", "s")
+    return _up_to_last(text, "-->", lambda head: sub(head, HTML_COMMENT, "", "s"))
 
 
 def strip_templates(text: Column) -> Column:
@@ -89,7 +97,7 @@ def strip_refs(text: Column) -> Column:
 
 
 def strip_tags(text: Column) -> Column:
-    return sub(text, HTML_TAG, "")
+    return _up_to_last(text, ">", lambda head: sub(head, HTML_TAG, ""))
 
 
 def replace_literals(text: Column) -> Column:

@@ -197,6 +197,11 @@ def resolve_clauses(clauses: DataFrame, index: SearchIndex) -> DataFrame:
     unknown = clauses.filter(~F.coalesce(F.col("kind").isin(list(_KINDS)), F.lit(False)))
     if not unknown.isEmpty():
         raise ValueError(f"clause kinds must be among {sorted(_KINDS)}")
+    starts = F.regexp_extract(F.coalesce("text", F.lit("")), r"^[^*?]*", 0)
+    empty = F.when(F.col("kind") == "prefix", F.coalesce("text", F.lit("")) == "")
+    bare = clauses.filter(F.when(F.col("kind") == "wildcard", starts == "").otherwise(empty))
+    if not bare.isEmpty():
+        raise ValueError("a prefix or wildcard must start with a literal character")
     used = [row.kind for row in clauses.select("kind").distinct().collect()]  # six at most
     resolvers = dict.fromkeys(_KINDS[kind] for kind in used or ["term"])
     return reduce(DataFrame.unionByName, [resolve(clauses, dictionary) for resolve in resolvers])
@@ -251,9 +256,13 @@ def clause_hits(clauses: DataFrame, index: SearchIndex) -> DataFrame:
 
 def search_clauses(clauses: DataFrame, index: SearchIndex, k: int = TOP_K) -> DataFrame:
     """``(query_id, doc_id, score, rank)``: documents that match every ``must`` clause,
-    no ``must_not`` clause and, without a ``must``, at least one ``should``."""
+    no ``must_not`` clause and, without a ``must``, at least one ``should``.
+
+    A ``must`` clause of terms or a phrase that holds no word demands nothing.
+    """
     occur, score = F.col("occur"), F.col("score")
-    demanded = clauses.groupBy("query_id").agg(F.count_if(occur == "must").alias("demanded"))
+    wordless = F.col("kind").isin("term", "phrase") & (F.size(tokenize(F.coalesce("text", F.lit("")))) == 0)
+    demanded = clauses.groupBy("query_id").agg(F.count_if((occur == "must") & ~wordless).alias("demanded"))
     documents = (
         clause_hits(clauses, index)
         .groupBy("query_id", "doc_id")

@@ -49,7 +49,7 @@ def jsonl_line_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     titles = table(spark, sf_dir, "documents").select(
         "doc_id", F.col("source").alias("network"), F.col("text").alias("plot")
     )
-    ordered = titles.repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id")
+    ordered = titles.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
     write_jsonl(ordered.drop("doc_id"), path)
     return read_numbered_jsonl(spark, path, WIKI_RECORD).select("doc_id", "network", "plot")
 

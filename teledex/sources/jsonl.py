@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.regex import strip
-from ..storage import broadcast_checked, materialize
+from ..storage import materialize
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -31,9 +31,10 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite", files: int |
 def _numbered_lines(lines: DataFrame) -> DataFrame:
     """``(line_number, value)``: 0-based, in (file, offset) order, blank lines counted.
 
-    Line order within an input block comes for free; only one row per block (its
-    line count) is sorted to turn it into a global number. Those rows are written first,
-    so that lines are joined with them where they were read.
+    The lines are written once with the block and the row number of the scan that read
+    them; counts, offsets and every later use come from that table, so neither another
+    split of the input nor new files can change a number or lose a line. Only one row per
+    block (its line count) is sorted to turn places into global numbers.
     """
     block = ["path", "block"]
     placed = lines.select(
@@ -42,12 +43,13 @@ def _numbered_lines(lines: DataFrame) -> DataFrame:
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("seq"),
     )
+    placed = materialize(placed, "lines")
     blocks = placed.groupBy(block).agg(F.count(F.lit(1)).alias("n"), F.min("seq").alias("first"))
     before = Window.orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
     starts = blocks.select(
         *block, "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset")
     )
-    starts = broadcast_checked(materialize(starts, "line-offsets"))
+    starts = materialize(starts, "line-offsets")
     return placed.join(starts, block).select(
         (F.col("seq") - F.col("first") + F.col("offset")).alias("line_number"), "value"
     )

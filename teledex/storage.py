@@ -51,9 +51,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 def discard(*tables: DataFrame) -> None:
     """Removes tables that ``materialize`` wrote, once nothing reads them any more."""
     for table in tables:
-        context = table.sparkSession.sparkContext
-        path = context._jvm.org.apache.hadoop.fs.Path(table.written_to)
-        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        remove(table.sparkSession, table.written_to)
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Removes a folder of any file system Spark knows; nothing happens if it is missing."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def broadcast_checked(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.html_records import extract_html_records
 from ..sources.text import html_rows
-from ..storage import new_path
+from ..storage import new_path, remove
 
 FILES_PER_BATCH = 500
 
@@ -35,10 +35,13 @@ def ingest(
 ) -> StreamingQuery:
     """Start extracting a page stream into ``output`` until its present input is done.
 
-    The same ``checkpoint`` continues where it stopped; a new one (the default) starts
-    over. Each page is read, parsed and written by one task; no state is kept.
+    The same ``checkpoint`` continues where it stopped. Without one the run starts over:
+    the previous output is removed first, with the sink's own log, which would otherwise
+    take the new run's batches for done. Each page is read, parsed and written by one task; no state is kept.
     """
-    checkpoint = checkpoint or new_path(pages.sparkSession, "ingest-checkpoint")
+    if checkpoint is None:
+        remove(pages.sparkSession, output)
+        checkpoint = new_path(pages.sparkSession, "ingest-checkpoint")
     writer = extract_html_records(pages, keep=keep).writeStream.format(output_format)
     if output_format == "json":
         writer = writer.option("ignoreNullFields", "false")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,6 +52,30 @@ def row_key(id_col: Column, text: Column) -> Column:
     return F.unhex(F.md5(F.concat(F.coalesce(id_col.cast("string"), F.lit("null")), F.lit(" "), filled(text))))
 
 
+#: Bits of a bitmap: 16 a value within these bounds.
+BITMAP_BITS = (1 << 20, 1 << 29)
+
+
+def bitmap(values: DataFrame, column: str) -> np.ndarray:
+    """A filter with a bit for each value of a written table's bigint column (one of the
+    hashed low bits). Its size is bounded; a fuller one finds values that aren't there
+    more often, and misses none."""
+    wanted = 1 << max(1, 16 * values.count()).bit_length()
+    bits = min(max(wanted, BITMAP_BITS[0]), BITMAP_BITS[1])
+    place = f"(`{column}` & {bits - 1}L)"
+    bit = F.expr(f"bit_or(shiftleft(1L, CAST({place} & 31 AS INT)))").alias("bits")
+    words = values.groupBy(F.expr(f"shiftright({place}, 5)").alias("word")).agg(bit)
+    out = np.zeros(bits // 32, np.uint32)
+    for part in words.toLocalIterator():
+        out[part["word"]] = part["bits"] & 0xFFFFFFFF
+    return out
+
+
+def in_bitmap(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    place = values & np.int64(len(known) * 32 - 1)
+    return (known[place >> 5] >> (place & 31).astype(np.uint32)) & 1 == 1
+
+
 def in_order(table: DataFrame, keys: list[str], name: str, weight: str | None = None) -> DataFrame:
     """``table`` (cheap to read: it is read twice) with its rows' places in the order of
     ``keys``: ``position`` from 0 and, with ``weight``, ``before``: the weight of all

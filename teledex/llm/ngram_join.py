@@ -8,7 +8,7 @@ to what the threshold lets two sets differ. Only pairs that pass all filters hav
 whole sets compared, so the answer is exact.
 
 Equal sets are one class. Documents that share a prefix shingle are first compared with
-two members of that group only; the components found so far then leave few pairs, those
+a few members of that group only; the components found so far then leave few pairs, those
 between components, to be compared. So a large group of near copies costs a few
 comparisons a document, not one a pair, and no link between components is missed.
 """
@@ -24,15 +24,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..storage import discard, materialize
-from .common import spare
+from .common import bitmap, in_bitmap, spare
 from .components import components
 
-#: Shingles counted as frequent: in at least so many documents, and at least this part of
-#: all shingle occurrences, so that no more than its reciprocal can be frequent.
-FREQUENT, FREQUENT_PART = 20, 1 / 2_000_000
+#: Shingles of at least so many documents count as frequent.
+FREQUENT = 20
+#: Members that all of a group are compared with first.
+CENTRES = 4
 COUNTED_AT_ONCE = 4_000_000
 #: Groups above this size are divided further by the second order's prefix shingles.
-LARGE_GROUP = 200
+LARGE_GROUP = 2000
 
 _MULTIPLIERS = np.array([2 * int.from_bytes(xxhash.xxh64_digest(f"word {i}"), "big") + 1 & (1 << 64) - 1 for i in range(64)], np.uint64)
 
@@ -133,15 +134,14 @@ def _shingled(docs: DataFrame, words: int) -> DataFrame:
 
 
 def _frequent(shingled: DataFrame) -> np.ndarray:
-    """The frequent shingles, sorted: at most 1 / FREQUENT_PART. Counts come from all
-    documents, less the shingles a task holds only once; any set gives right results, as
-    it only changes the order."""
-    total = shingled.filter("n > 0").agg(F.sum("n").alias("n")).first().n or 0
-    least = max(FREQUENT, int(total * FREQUENT_PART))
+    """A bitmap of the frequent shingles. Counts come from all documents, less the shingles
+    a task holds only once; any set gives right results, as it only changes the order."""
     counted = shingled.filter("n < 0").select(F.explode(F.arrays_zip("tokens", "counts")).alias("x"))
     sums = counted.groupBy(F.col("x.tokens").alias("token")).agg(F.sum("x.counts").alias("count"))
-    rows = sums.filter(F.col("count") >= least).select("token").toPandas()
-    return np.sort(rows["token"].to_numpy(np.int64).view(np.uint64))
+    often = materialize(sums.filter(F.col("count") >= FREQUENT).select("token"), "frequent")
+    known = bitmap(often, "token")
+    discard(often)
+    return known
 
 
 def _classes(docs: DataFrame, words: int, percent: int, frequent: np.ndarray) -> DataFrame:
@@ -160,10 +160,8 @@ def _classes(docs: DataFrame, words: int, percent: int, frequent: np.ndarray) ->
                     continue
                 seen.add(name)
                 keep = prefix_length(len(tokens), percent)
-                first = tokens
-                if len(known):
-                    late = known[np.minimum(np.searchsorted(known, tokens), len(known) - 1)] == tokens
-                    first = np.concatenate([tokens[~late], tokens[late]])
+                late = in_bitmap(tokens.view(np.int64), known)
+                first = np.concatenate([tokens[~late], tokens[late]])
                 orders = [_narrow(_mixed(tokens, salt), keep).tobytes() for salt in (50, 54)]
                 rows.append((name, doc_id, len(tokens), first[:keep].view(np.int64), *orders))
             yield pd.DataFrame(rows, columns=["class_hash", "doc_id", "n", "prefix", "second", "third"])
@@ -241,10 +239,13 @@ def _links(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> Dat
     entries = classes.select(F.explode("prefix").alias("token"), "c")
     groups = entries.groupBy("token").agg(F.count("*").alias("size")).filter("size > 1")
     shared = materialize(entries.join(groups, "token"), "shared-shingles")
-    # First every member of a group with the group's first and last.
-    ends = shared.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high"))
+    # First every member of a group with those that share most of their prefix, which are
+    # the least changed of near copies.
+    breadth = shared.groupBy("c").agg(F.count("*").alias("breadth"))
+    central = [F.max_by("c", F.struct("breadth", F.xxhash64("c", F.lit(i)))).alias(f"m{i}") for i in range(CENTRES)]
+    ends = shared.join(breadth, "c").groupBy("token").agg(*central)
     paired = shared.select("token", "c").join(ends, "token")
-    tested = paired.select("c", F.explode(F.array("low", "high")).alias("end")).filter("c <> end").select(*_ordered("c", "end")).distinct()
+    tested = paired.select("c", F.explode(F.array_distinct(F.array(*[f"m{i}" for i in range(CENTRES)]))).alias("end")).filter("c <> end").select(*_ordered("c", "end")).distinct()
     tested = materialize(tested, "first-pairs")
     passed = _filtered(tested, classes, percent)
     named = classes.select("c", "class_hash", "doc_id")

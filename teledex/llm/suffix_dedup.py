@@ -19,16 +19,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..storage import materialize
-from .common import row_key
+from .common import bitmap, in_bitmap, row_key
 from .suffix_arrays import permuted_lcp, suffix_array
 
 LENGTH, GRAM = 200, 32
 #: Bytes of a shard, and segments of one anchor above which its strings are grouped by
 #: their own hash instead, in as many tasks as that takes.
 SHARD_BYTES, MANY_SEGMENTS = 2 << 20, 2000
-#: Bits of the filter of repeated anchors: 16 an anchor within these bounds. A full filter
-#: lets more segments through, and misses none.
-FILTER_BITS = (1 << 20, 1 << 29)
 
 _BASE = 0x9E3779B97F4A7C15
 _CHUNK = 1 << 22
@@ -100,24 +97,10 @@ def _repeated_anchors(texts: DataFrame) -> DataFrame:
     return materialize(counted.groupBy("anchor").agg(F.sum("n").alias("n")).filter("n > 1").select("anchor"), "anchors")
 
 
-def _filter_of(repeated: DataFrame) -> np.ndarray:
-    """A bitmap with a bit for each repeated anchor; bounded, as its size is."""
-    wanted = 1 << max(1, 16 * repeated.count()).bit_length()
-    bits = min(max(wanted, FILTER_BITS[0]), FILTER_BITS[1])
-    place = f"(anchor & {bits - 1}L)"
-    bit = F.expr(f"bit_or(shiftleft(1L, CAST({place} & 31 AS INT)))").alias("bits")
-    words = repeated.groupBy(F.expr(f"shiftright({place}, 5)").alias("word")).agg(bit)
-    out = np.zeros(bits // 32, np.uint32)
-    for part in words.toLocalIterator():
-        out[part["word"]] = part["bits"] & 0xFFFFFFFF
-    return out
-
-
 def _candidates(data: bytes, filter_: np.ndarray):
     """(anchor, first place, count) of a text's runs that may be repeated."""
     hashes, first, count = anchors(data)
-    place = hashes & np.int64(len(filter_) * 32 - 1)
-    kept = (filter_[place >> 5] >> (place & 31).astype(np.uint32)) & 1 == 1
+    kept = in_bitmap(hashes, filter_)
     return zip(hashes[kept].tolist(), first[kept].tolist(), count[kept].tolist())
 
 
@@ -207,7 +190,7 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     columns = [F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")]
     keyed = docs.select(*columns, row_key(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).alias("key"))
-    shared = docs.sparkSession.sparkContext.broadcast(_filter_of(_repeated_anchors(keyed)))
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap(_repeated_anchors(keyed), "anchor"))
     repeated = _repeated_places(_segments(keyed, shared))
 
     def occurrences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -10,7 +10,8 @@ whole sets compared, so the answer is exact.
 Equal sets are one class. Documents that share a prefix shingle are first compared with
 a few members of that group only; the components found so far then leave few pairs, those
 between components, to be compared. So a large group of near copies costs a few
-comparisons a document, not one a pair, and no link between components is missed.
+comparisons a document, not one a pair, and no link between components is missed. Sets
+that hold too many shingles of their own to link with each other are never paired.
 """
 
 from __future__ import annotations
@@ -259,22 +260,43 @@ def _links(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> Dat
     rooted = rooted.select("token", "c", "size", F.coalesce("root", "c").alias("root"))
     mixed = rooted.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
     open_ = materialize(rooted.join(mixed.select("token"), "token", "left_semi"), "open-groups")
+    more = named.join(open_.select("c").distinct(), "c", "left_semi").join(wanted, "c", "left_anti")
+    more = materialize(more, "wanted")
+    further = _sets(docs, more, words)
+    known = sets.unionByName(further)
+    # What a class shares with none of these is missing from any partner.
+    judged = classes.select("c", "n").join(_own(known.join(open_, "c", "left_semi")), "c", "left")
+    judged = judged.select("c", "n", F.coalesce("own", F.lit(0)).alias("own"))
     small = open_.filter(F.col("size") <= LARGE_GROUP).select(F.col("token").alias("key"), "c", "root")
     large = open_.filter(F.col("size") > LARGE_GROUP).join(classes.select("c", _words_of("second").alias("others")), "c")
     large = large.withColumn("other", F.explode("others")).select(F.xxhash64("token", "other").alias("key"), "c", "root")
-    keyed = small.unionByName(large).join(classes.select("c", "n"), "c").select("key", "c", "root", "n")
-    left, right = keyed.toDF("key", "c1", "root1", "n1"), keyed.toDF("key", "c2", "root2", "n2")
-    near = f"c1 < c2 AND root1 <> root2 AND 100 * least(n1, n2) >= {percent} * greatest(n1, n2)"
-    cross = left.join(right, "key").filter(near).select(F.col("c1").alias("a"), F.col("c2").alias("b")).distinct()
+    keyed = small.unionByName(large).join(judged, "c").withColumn("light", F.expr(f"own * {100 + percent} <= {100 - percent} * n"))
+    keyed = materialize(keyed.select("key", "c", "root", "n", "own", "light"), "keyed")
+    # |A ^ B| holds all that either has alone, so one of two that link has few: is light.
+    left = keyed.filter("light").select("key", *[F.col(x).alias(f"{x}1") for x in ("c", "root", "n", "own")])
+    right = keyed.toDF("key", "c2", "root2", "n2", "own2", "light2")
+    near = f"root1 <> root2 AND (c1 < c2 OR NOT light2) AND 100 * least(n1, n2) >= {percent} * greatest(n1, n2)"
+    near += f" AND (own1 + own2) * {100 + percent} <= {100 - percent} * (n1 + n2)"
+    cross = left.join(right, "key").filter(near).select(*_ordered("c1", "c2")).distinct()
     cross = _filtered(cross.join(tested, ["a", "b"], "left_anti"), classes, percent)
-    more = named.join(ids(cross), "c", "left_semi").join(wanted, "c", "left_anti")
-    more = materialize(more, "wanted")
-    further = _sets(docs, more, words)
-    found = materialize(links.unionByName(_verified(cross, sets.unionByName(further), percent)), "all-links")
-    discard(shared, tested, wanted, sets, open_, more, further)
+    found = materialize(links.unionByName(_verified(cross, known, percent)), "all-links")
+    discard(shared, tested, wanted, sets, open_, more, further, keyed)
     return found
 
 
+def _own(sets: DataFrame) -> DataFrame:
+    """(c, own): how many shingles of a class are in no other of these sets."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for c, x in zip(batch["c"], batch["tokens"]):
+                yield pd.DataFrame({"c": c, "token": np.frombuffer(x, np.int64)})
+
+    tokens = sets.mapInPandas(run, "c bigint, token bigint")
+    alone = tokens.groupBy("token").agg(F.count("*").alias("times"), F.min("c").alias("c")).filter("times = 1")
+    return alone.groupBy("c").agg(F.count("*").alias("own"))
+
+
 def _words_of(column: str):
     """The 32-bit values of a narrow prefix, each as 8 hexadecimal digits."""
     return F.regexp_extract_all(F.hex(column), F.lit("([0-9A-F]{8})"), F.lit(1))

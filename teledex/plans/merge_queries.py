@@ -72,12 +72,13 @@ _HTML = """
         p_brand, p_name, p_type, p_partkey
     FROM part"""
 _WIKI = """
-    SELECT upper(p_name) || '!' AS title, p_name AS normalized_title,
+    SELECT CASE WHEN p_partkey % 3 = 0 THEN upper(p_name) ELSE 'PART ' || p_partkey END || '!' AS title,
+        CASE WHEN p_partkey % 3 = 0 THEN p_name ELSE 'part ' || p_partkey END AS normalized_title,
         CASE WHEN p_partkey % 12 <> 0 THEN CAST(1950 + p_size AS VARCHAR) END AS normalized_year,
         p_brand AS country, CAST(p_partkey % 8 AS VARCHAR) AS num_seasons,
         CAST(p_size AS VARCHAR) AS num_episodes, '45 minutes' AS runtime, p_type AS network,
         CAST(p_partkey AS VARCHAR) AS plot
-    FROM part WHERE p_partkey % 3 = 0 AND p_partkey % 30 <> 0"""
+    FROM part WHERE p_partkey % 30 <> 0"""
 _ON = "t.normalized_title = w.normalized_title AND t.normalized_year = w.normalized_year"
 
 ORACLES = {

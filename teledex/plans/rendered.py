@@ -107,15 +107,16 @@ def wiki_pages(documents: DataFrame) -> DataFrame:
 
 
 def series_pages(part: DataFrame) -> DataFrame:
-    """``(p_partkey, page)``: a dump page for every third part, under its own name."""
-    key, name = F.col("p_partkey"), F.col("p_name")
+    """``(p_partkey, page)``: a dump page for every part; every third is under its own name."""
+    key = F.col("p_partkey")
+    name = F.when(key % 3 == 0, F.col("p_name")).otherwise(_text("Part ", key))
     page = _text(
         "<page><title>The ", name, "</title><ns>0</ns><text>{{Infobox television\n| network = ",
         F.col("p_brand"), "\n| first_aired = ", 1950 + F.col("p_size"), "\n| country = ",
         F.col("p_type"), "\n| num_episodes = ", F.col("p_size"), "\n}}\nPart ", key, " '''", name,
         "''' ", F.repeat(_text(F.col("p_type"), " "), 20), "</text></page>",
     )
-    return part.filter(key % 3 == 0).select("p_partkey", page.alias("page"))
+    return part.select("p_partkey", page.alias("page"))
 
 
 def html_records(part: DataFrame) -> DataFrame:
@@ -137,11 +138,12 @@ def html_records(part: DataFrame) -> DataFrame:
 
 
 def wiki_records(part: DataFrame) -> DataFrame:
-    """Wiki-side records: every third part, upper-cased, years as text; some titles
-    hold nothing but an article."""
+    """Wiki-side records of every part, years as text. Every third has its own name,
+    upper-cased, but for some titles that hold nothing but an article; others match none."""
     key = F.col("p_partkey")
-    return part.filter(key % 3 == 0).select(
-        F.when(key % 30 == 0, "The (a)").otherwise(_text(F.upper("p_name"), "!")).alias("title"),
+    name = F.when(key % 3 == 0, F.upper("p_name")).otherwise(_text("PART ", key))
+    return part.select(
+        F.when(key % 30 == 0, "The (a)").otherwise(_text(name, "!")).alias("title"),
         F.when(key % 12 != 0, _text("c. ", 1950 + F.col("p_size"))).alias("year"),
         F.col("p_brand").alias("country"),
         (key % 8).cast("string").alias("num_seasons"),
@@ -176,9 +178,9 @@ def catalogue(documents: DataFrame) -> DataFrame:
 
 
 def benchmark_queries(benchmark: DataFrame) -> DataFrame:
-    """One query per benchmark text, with a year and a name; every tenth is blank."""
+    """One query per benchmark text, with a year and a name, and a blank one beside each
+    under a negative id."""
     key = F.col("item_id")
     text = _text(F.col("text"), " ", 1950 + key % 70, " person Ended ", key % 10)
-    return benchmark.select(
-        key.alias("query_id"), F.when(key % 10 == 9, "  ").otherwise(text).alias("text")
-    )
+    blank = benchmark.select((-1 - key).alias("query_id"), F.lit("  ").alias("text"))
+    return benchmark.select(key.alias("query_id"), text.alias("text")).unionByName(blank)

@@ -44,14 +44,15 @@ def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         escaped(F.col("text")), '<ref name="a">see ', source, "\n</ref><ref name=b /> [[", source,
         "|label ", lang, "]] ''it'' <b>bold</b>&nbsp;&#8211;&amp;lt;\t",
     )
-    value = (
-        F.when(key % 10 == 0, " TBA\n")
-        .when(key % 10 == 1, _text("| left ", key))
-        .when(key % 10 == 2, _text("a ref ", key))
-        .when(key % 10 == 3, F.lit(None))
-        .otherwise(decorated)
+    leftover = (
+        F.when(key % 4 == 0, " TBA\n")
+        .when(key % 4 == 1, _text("| left ", key))
+        .when(key % 4 == 2, _text("a ref ", key))
     )
-    return _documents(spark, sf_dir).select("doc_id", wt.clean_text(value).alias("cleaned"))
+    documents = _documents(spark, sf_dir)
+    texts = documents.select("doc_id", decorated.alias("value"))
+    texts = texts.unionByName(documents.select((-1 - key).alias("doc_id"), leftover.alias("value")))
+    return texts.select("doc_id", wt.clean_text(F.col("value")).alias("cleaned"))
 
 
 def clean_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -244,10 +245,10 @@ ORACLES = {
             || {_escaped_sql("text")} || chr(10) || '== Cast ==' || chr(10) || 'none') AS BIGINT) AS n_text
         FROM documents""",
     "clean_text": f"""
-        SELECT doc_id, CASE WHEN doc_id % 10 < 4 THEN '' ELSE
+        SELECT doc_id,
             {_collapsed_sql("'Doc ' || doc_id || ' ' || text || ' label ' || lang || ' it bold –<'")}
-            END AS cleaned
-        FROM documents""",
+            AS cleaned
+        FROM documents UNION ALL SELECT -1 - doc_id, '' FROM documents""",
     "clean_templates": """
         SELECT doc_id, text
             || CASE WHEN doc_id % 7 < 5 THEN '' ELSE repeat('{{a ', CAST(doc_id % 7 - 4 AS INTEGER))

@@ -8,10 +8,11 @@ to what the threshold lets two sets differ. Only pairs that pass all filters hav
 whole sets compared, so the answer is exact.
 
 Equal sets are one class. Documents that share a prefix shingle are first compared with
-a few members of that group only; the components found so far then leave few pairs, those
-between components, to be compared. So a large group of near copies costs a few
-comparisons a document, not one a pair, and no link between components is missed. Sets
-that hold too many shingles of their own to link with each other are never paired.
+a few members of that group only, its centres; the components found so far then leave few
+pairs, those between components. Two such sets can only link where they differ from the
+centre in the same shingles, so their remaining pairs are joined on the first of these
+differences. A large group of near copies thus costs a few comparisons a document, not
+one a pair, and no link between components is missed.
 """
 
 from __future__ import annotations
@@ -33,8 +34,9 @@ FREQUENT = 20
 #: Members that all of a group are compared with first.
 CENTRES = 4
 COUNTED_AT_ONCE = 4_000_000
-#: Groups above this size are divided further by the second order's prefix shingles.
-LARGE_GROUP = 2000
+#: Members of groups up to this size are paired directly once the centres are compared:
+#: so many pairs a member at most. Larger groups are joined by what sets members off.
+SMALL_GROUP = 16
 
 _MULTIPLIERS = np.array([2 * int.from_bytes(xxhash.xxh64_digest(f"word {i}"), "big") + 1 & (1 << 64) - 1 for i in range(64)], np.uint64)
 
@@ -234,17 +236,17 @@ def _ordered(a: str, b: str) -> list:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def _links(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
+def _links(docs: DataFrame, classes: DataFrame, words: int, percent: int, frequent: np.ndarray) -> DataFrame:
     """Links between classes, written: enough to join all that belong together. Other
     tables on the way are removed."""
-    entries = classes.select(F.explode("prefix").alias("token"), "c")
+    entries = classes.select(F.explode("prefix").alias("token"), "c", "n")
     groups = entries.groupBy("token").agg(F.count("*").alias("size")).filter("size > 1")
-    shared = materialize(entries.join(groups, "token"), "shared-shingles")
+    shared = materialize(entries.join(groups.select("token"), "token"), "shared-shingles")
     # First every member of a group with those that share most of their prefix, which are
     # the least changed of near copies.
     breadth = shared.groupBy("c").agg(F.count("*").alias("breadth"))
     central = [F.max_by("c", F.struct("breadth", F.xxhash64("c", F.lit(i)))).alias(f"m{i}") for i in range(CENTRES)]
-    ends = shared.join(breadth, "c").groupBy("token").agg(*central)
+    ends = materialize(shared.join(breadth, "c").groupBy("token").agg(*central), "centres")
     paired = shared.select("token", "c").join(ends, "token")
     tested = paired.select("c", F.explode(F.array_distinct(F.array(*[f"m{i}" for i in range(CENTRES)]))).alias("end")).filter("c <> end").select(*_ordered("c", "end")).distinct()
     tested = materialize(tested, "first-pairs")
@@ -254,52 +256,69 @@ def _links(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> Dat
     wanted = materialize(named.join(ids(passed), "c", "left_semi"), "wanted")
     sets = _sets(docs, wanted, words)
     links = _verified(passed, sets, percent)
-    # Then members of different components.
+    # Then members of different components, by what sets each off from its centre.
     roots = components(links)
     rooted = shared.join(roots.select(F.col("node").alias("c"), "root"), "c", "left")
-    rooted = rooted.select("token", "c", "size", F.coalesce("root", "c").alias("root"))
-    mixed = rooted.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
-    open_ = materialize(rooted.join(mixed.select("token"), "token", "left_semi"), "open-groups")
-    more = named.join(open_.select("c").distinct(), "c", "left_semi").join(wanted, "c", "left_anti")
-    more = materialize(more, "wanted")
-    further = _sets(docs, more, words)
+    rooted = rooted.select("token", "c", "n", F.coalesce("root", "c").alias("root"))
+    mixed = rooted.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("size"))
+    mixed = mixed.filter("low <> high AND size > 2").select("token", "size")
+    open_ = materialize(rooted.join(mixed, "token").join(ends.select("token", F.col("m0").alias("centre")), "token"), "open-groups")
+    small = open_.filter(F.col("size") <= SMALL_GROUP)
+    sides = [small.select("token", *[F.col(x).alias(f"{x}{i}") for x in ("c", "n", "root")]) for i in (1, 2)]
+    near = f"c1 < c2 AND root1 <> root2 AND 100 * least(n1, n2) >= {percent} * greatest(n1, n2)"
+    direct = sides[0].join(sides[1], "token").filter(near).select(*_ordered("c1", "c2"))
+    large = open_.filter((F.col("size") > SMALL_GROUP) & (F.col("c") != F.col("centre")))
+    clans = materialize(large.select("centre", "c", "root").distinct(), "clans")
+    grouped = named.join(clans.select(F.explode(F.array("centre", "c")).alias("c")).distinct(), "c", "left_semi")
+    grouped = materialize(grouped.join(wanted, "c", "left_anti"), "wanted")
+    further = _sets(docs, grouped, words)
     known = sets.unionByName(further)
-    # What a class shares with none of these is missing from any partner.
-    judged = classes.select("c", "n").join(_own(known.join(open_, "c", "left_semi")), "c", "left")
-    judged = judged.select("c", "n", F.coalesce("own", F.lit(0)).alias("own"))
-    small = open_.filter(F.col("size") <= LARGE_GROUP).select(F.col("token").alias("key"), "c", "root")
-    large = open_.filter(F.col("size") > LARGE_GROUP).join(classes.select("c", _words_of("second").alias("others")), "c")
-    large = large.withColumn("other", F.explode("others")).select(F.xxhash64("token", "other").alias("key"), "c", "root")
-    keyed = small.unionByName(large).join(judged, "c").withColumn("light", F.expr(f"own * {100 + percent} <= {100 - percent} * n"))
-    keyed = materialize(keyed.select("key", "c", "root", "n", "own", "light"), "keyed")
-    # |A ^ B| holds all that either has alone, so one of two that link has few: is light.
-    left = keyed.filter("light").select("key", *[F.col(x).alias(f"{x}1") for x in ("c", "root", "n", "own")])
-    right = keyed.toDF("key", "c2", "root2", "n2", "own2", "light2")
-    near = f"root1 <> root2 AND (c1 < c2 OR NOT light2) AND 100 * least(n1, n2) >= {percent} * greatest(n1, n2)"
-    near += f" AND (own1 + own2) * {100 + percent} <= {100 - percent} * (n1 + n2)"
-    cross = left.join(right, "key").filter(near).select(*_ordered("c1", "c2")).distinct()
-    cross = _filtered(cross.join(tested, ["a", "b"], "left_anti"), classes, percent)
-    found = materialize(links.unionByName(_verified(cross, known, percent)), "all-links")
-    discard(shared, tested, wanted, sets, open_, more, further, keyed)
+    edits = materialize(_edits(clans, known, percent, frequent), "edits")
+    left = edits.filter("short").select("key", *[F.col(x).alias(f"{x}1") for x in ("c", "root", "n", "differs", "place")])
+    right = edits.drop("short").toDF("key", *[f"{x}2" for x in ("c", "root", "n", "differs", "place")])
+    room = f"(differs1 + differs2 - {100 - percent} * (n1 + n2) DIV {100 + percent})"
+    near = f"root1 <> root2 AND (differs1, c1) < (differs2, c2) AND 100 * least(n1, n2) >= {percent} * greatest(n1, n2)"
+    near += f" AND 2 * (differs1 - place1) >= {room} AND 2 * (differs2 - place2) >= {room}"
+    apart = left.join(right, "key").filter(near).select(*_ordered("c1", "c2"))
+    cross = direct.unionByName(apart).distinct().join(tested, ["a", "b"], "left_anti")
+    cross = _filtered(cross, classes, percent)
+    rest = named.join(ids(cross), "c", "left_semi").join(wanted, "c", "left_anti").join(grouped, "c", "left_anti")
+    rest = materialize(rest, "wanted")
+    last = _sets(docs, rest, words)
+    found = materialize(links.unionByName(_verified(cross, known.unionByName(last), percent)), "all-links")
+    discard(shared, ends, tested, wanted, sets, open_, clans, grouped, further, edits, rest, last)
     return found
 
 
-def _own(sets: DataFrame) -> DataFrame:
-    """(c, own): how many shingles of a class are in no other of these sets."""
+def _edits(clans: DataFrame, sets: DataFrame, percent: int, frequent: np.ndarray) -> DataFrame:
+    """The first shingles in which each class differs from its centre, under an order all
+    of a centre's classes share: those the centre lacks first, frequent ones after others.
+
+    Let D be how many shingles two sets that link may differ in. Where two classes differ
+    from the centre in no more than D together, both link with it, so they are in one
+    component. All others that link share differences. The one with fewer has one of them
+    among its first D / 2 + 1 (``short`` rows), the other among its first D + 1.
+    """
+    shared = clans.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = shared.value
         for batch in batches:
-            for c, x in zip(batch["c"], batch["tokens"]):
-                yield pd.DataFrame({"c": c, "token": np.frombuffer(x, np.int64)})
-
-    tokens = sets.mapInPandas(run, "c bigint, token bigint")
-    alone = tokens.groupBy("token").agg(F.count("*").alias("times"), F.min("c").alias("c")).filter("times = 1")
-    return alone.groupBy("c").agg(F.count("*").alias("own"))
-
-
-def _words_of(column: str):
-    """The 32-bit values of a narrow prefix, each as 8 hexadecimal digits."""
-    return F.regexp_extract_all(F.hex(column), F.lit("([0-9A-F]{8})"), F.lit(1))
+            for centre, c, root, x, y in zip(batch["centre"], batch["c"], batch["root"], batch["tokens"], batch["of_centre"]):
+                own, base = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                added, missing = np.setdiff1d(own, base, True), np.setdiff1d(base, own, True)
+                added, missing = (t[np.argsort(_mixed(t, 58))] for t in (added, missing))
+                late = in_bitmap(added.view(np.int64), known)
+                order = np.concatenate([added[~late], added[late], missing])
+                most = (100 - percent) * len(own) // percent  # D, for a partner as large as any
+                first = order[: most + 1]
+                key = _mixed(first + np.array([centre], np.uint64) * _MULTIPLIERS[48], 2).view(np.int64)
+                place = np.arange(len(first))
+                yield pd.DataFrame({"key": key, "c": c, "root": root, "n": len(own), "differs": len(order), "place": place, "short": place <= most // 2})
+
+    side = lambda key, name: sets.select(F.col("c").alias(key), F.col("tokens").alias(name))
+    both = clans.join(side("c", "tokens"), "c").join(side("centre", "of_centre"), "centre")
+    return both.mapInPandas(run, "key bigint, c bigint, root bigint, n bigint, differs bigint, place bigint, short boolean")
 
 
 def near_groups(docs: DataFrame, words: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -314,8 +333,9 @@ def near_groups(docs: DataFrame, words: int = 4, percent: int = 85, id_col: str
     texts = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     shingled = materialize(_shingled(texts, words), "shingled")
     members = shingled.filter("n >= 0").select("doc_id", F.col("n").alias("n_shingles"), "class_hash")
-    classes = _classes(texts, words, percent, _frequent(shingled))
-    roots = components(_links(texts, classes, words, percent))
+    frequent = _frequent(shingled)
+    classes = _classes(texts, words, percent, frequent)
+    roots = components(_links(texts, classes, words, percent, frequent))
     named = classes.select("c", "class_hash").join(roots.withColumnRenamed("node", "c"), "c", "left")
     named = named.select("class_hash", F.coalesce("root", "c").alias("root"))
     rooted = materialize(members.join(named, "class_hash", "left"), "rooted")

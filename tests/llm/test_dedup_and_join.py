@@ -111,7 +111,8 @@ def test_near_groups_equal_brute_force(spark, sf_dir, monkeypatch):
         df = spark.createDataFrame(given, "doc_id bigint, text string").repartition(4)
         got = sorted([tuple(r) for r in near_groups(df, k, percent).collect()], key=str)
         assert got == brute_groups(given, k, percent)
-    monkeypatch.setattr(module, "LARGE_GROUP", 3)
+    monkeypatch.setattr(module, "CENTRES", 1)
+    monkeypatch.setattr(module, "SMALL_GROUP", 3)
     monkeypatch.setattr(module, "FREQUENT", 8)
     df = spark.createDataFrame(near_rows(), "doc_id bigint, text string").repartition(4)
     got = sorted([tuple(r) for r in near_groups(df, 4, 85).collect()], key=str)

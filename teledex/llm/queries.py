@@ -12,7 +12,7 @@ from .mixing import mix
 from .ngram_join import near_groups
 from .packing import pack
 from .quality import judge_quality
-from .sentence_spans import remove_repeats
+from .sentence_spans import WORDS, remove_repeats
 from .sharding import assign_shards
 from .suffix_dedup import cut_repeats
 from .token_store import stored
@@ -40,7 +40,7 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = remove_repeats(read(spark, sf_dir, "documents"), counts=True)
+    cut = remove_repeats(read(spark, sf_dir, "documents"), counts=True, words=WORDS)
     return cut.select("doc_id", "n_sentences", "n_removed", F.sha2(F.col("text"), 256).alias("kept_sha256"))
 
 

@@ -1,6 +1,7 @@
 """Packing, sharding, token files, mixing, quality and sentence spans: exact round trips
 and brute force."""
 
+import random
 import re
 import zlib
 from collections import defaultdict
@@ -214,3 +215,37 @@ def test_sentence_spans_equal_brute_force(spark, sf_dir):
         assert {r.doc_id: r.text for r in got.collect()} == want
     assert want and remove_repeats(table(spark)).count() == len(rows()) and remove_repeats(table(spark).limit(0)).count() == 0
     assert re.search("Old", {r.doc_id: r.text for r in remove_repeats(table(spark, given)).collect()}[1001])
+
+
+def test_repeated_passages_in_other_text(spark):
+    rng = random.Random(11)
+
+    def prose(n, mean=12):
+        out = [f"{rng.choice('bcdfgk')}{rng.randrange(10**6)}" for _ in range(n)]
+        for i in range(0, n, mean):
+            out[i] += rng.choice([".", ",", "", "!"])
+        return " ".join(out)
+
+    # More than 50 words in one, two and three sentences, and without any mark, spliced
+    # into the middle of sentences; also a script without spaces.
+    plain = [f"p{i}x{i * i % 37}" for i in range(120)]
+    passages = [" ".join(plain[:51]), " ".join(plain[:60]) + ".", "So " + " ".join(plain[60:86]) + ". And " + " ".join(plain[86:115]) + ".", "A " + " ".join(plain[5:25]) + ". B " + " ".join(plain[30:50]) + "! C " + " ".join(plain[70:90]) + "?"]
+    passages += [prose(51, 70) for _ in range(20)] + ["".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(60))]
+    given, early = [], len(passages)
+    for i in range(2 * early):
+        given.append((i, prose(rng.randint(5, 40)) + " " + passages[i % early] + " " + prose(rng.randint(5, 40)), "s", 1))
+    short = [(900, "Only one sentence", "s", 1), (901, "Only  one sentence", "s", 1), (902, "Another text.", "s", 1), (903, "", "s", 1), (904, None, "s", 1)]
+    for words, share in ((50, 1.0), (None, 0.2)):
+        got = {r.doc_id: r for r in remove_repeats(table(spark, given + short), counts=True, words=words).collect()}
+        cut = [i for i in range(early, 2 * early) if got[i].text != given[i][1] and got[i].n_removed > 0]
+        assert len(cut) == early if share == 1.0 else len(cut) <= share * early
+        assert words is None or got[901].text == ""
+        assert [got[i].text for i in (900, 902, 903, 904)] == ["Only one sentence", "Another text.", "", None]
+    got = {r.doc_id: r.text for r in remove_repeats(table(spark, given), words=50).collect()}
+    for i, text, *_ in given:
+        head, _, tail = text.partition(passages[i % early])
+        if i >= early and i % early > 3:
+            assert got[i].startswith(head) and got[i].endswith(tail)  # nothing of its own goes
+            assert len(got[i].split()) < len(text.split()) - (20 if i % early < early - 1 else -1)
+    # Passages 0 to 3 share words with each other; all first occurrences of the others stay.
+    assert all(got[i] == given[i][1] for i in range(4, early)) and got[0] == given[0][1]

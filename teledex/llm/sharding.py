@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..storage import materialize
+from ..storage import broadcast_checked, materialize
 from .common import filled, in_order, spare
 
 BITS = 5
@@ -45,15 +45,26 @@ def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
     return index.astype(np.int64)
 
 
+def ranked(table: DataFrame, names: list[str]) -> DataFrame:
+    """``table`` (read again for each text dimension) with text in the columns ``names``
+    replaced by its place among the column's different values. Null stays null."""
+    for name in names:
+        if isinstance(table.schema[name].dataType, (T.StringType, T.BinaryType)):
+            value, = spare(table, "value")
+            different = table.select(F.col(f"`{name}`").cast("binary").alias(value)).filter(F.col(value).isNotNull()).distinct()
+            ranks = in_order(materialize(different, "dimension-values"), [value], "dimension-ranks")
+            ranks = broadcast_checked(materialize(ranks.select(F.col(value), "position"), "dimension-places"))
+            rank, = spare(table, "rank")
+            ranks = ranks.withColumnRenamed("position", rank)
+            table = table.join(ranks, F.col(f"`{name}`").cast("binary") == F.col(value), "left").drop(value)
+            table = table.drop(name).withColumnRenamed(rank, name)
+    return table
+
+
 def ordinal(df: DataFrame, name: str) -> Column:
-    """A dimension as a number that keeps its order: text by its first six bytes. Null
+    """A numeric dimension (text: see ``ranked``) as a number that keeps its order. Null
     comes before all values."""
-    column, kind = F.col(f"`{name}`"), df.schema[name].dataType
-    if isinstance(kind, (T.StringType, T.BinaryType)):
-        column = F.conv(F.rpad(F.hex(F.substring(column.cast("binary"), 1, 6)), 12, "0"), 16, 10).cast("double")
-    else:
-        column = column.cast("double")
-    return F.coalesce(column, F.lit(float("-inf")))
+    return F.coalesce(F.col(f"`{name}`").cast("double"), F.lit(float("-inf")))
 
 
 def on_curve(table: DataFrame, dimensions: list[str], bits: int = BITS) -> DataFrame:
@@ -87,9 +98,10 @@ def assign_shards(
     text = F.col(f"`{text_col}`")
     own = [F.col(f"`{id_col}`").alias("doc_id"), (F.coalesce(F.octet_length(text), F.lit(0)) + 8).cast("bigint").alias("size")]
     own += [F.crc32(filled(text).cast("binary")).alias("text_crc32")]
-    own += [ordinal(docs, d).alias(f"dim_{d}") for d in dimensions if d != "size"]
-    narrow = materialize(docs.select(*own), "shard-rows")
-    curved = on_curve(narrow, [d if d == "size" else f"dim_{d}" for d in dimensions])
+    own += [F.col(f"`{d}`").alias(f"dim_{d}") for d in dimensions if d != "size"]
+    names = [d if d == "size" else f"dim_{d}" for d in dimensions]
+    narrow = ranked(materialize(docs.select(*own), "shard-rows"), names)
+    curved = on_curve(narrow, names)
     curved = materialize(curved.select("doc_id", "size", "text_crc32", "curve"), "shard-points")
     placed = in_order(curved, ["curve", "doc_id", "text_crc32", "size"], "shard-order", weight="size")
     totals = placed.agg(F.count("*").alias("rows"), F.sum("size").alias("bytes")).first()
@@ -109,8 +121,9 @@ def assign_shards(
 
 def write_shards(docs: DataFrame, path: str, shards: int, dimensions: list[str]) -> None:
     """Whole rows as Parquet, a folder a shard, in the curve's order, runs of equal rows."""
-    rows = docs.select(F.struct("*").alias("row"), *[ordinal(docs, d).alias(f"dim_{d}") for d in dimensions])
-    curved = on_curve(rows, [f"dim_{d}" for d in dimensions]).select("row", "curve")
+    rows = docs.select(F.struct("*").alias("row"), *[F.col(f"`{d}`").alias(f"dim_{d}") for d in dimensions])
+    names = [f"dim_{d}" for d in dimensions]
+    curved = on_curve(ranked(rows, names), names).select("row", "curve")
     placed = in_order(materialize(curved, "curved"), ["curve"], "curve-order")
     count, (shard,) = max(placed.count(), 1), spare(docs, "shard")
     placed = placed.select("row.*", F.expr(f"CAST((position * {shards}L) div {count}L AS INT)").alias(shard))

@@ -121,6 +121,16 @@ def test_shards(spark, sf_dir, tmp_path):
     assert sum(spans) < 0.7 * 8 * docs.select("source").distinct().count()  # shards can be skipped
 
 
+def test_shards_by_text_with_a_shared_start(spark):
+    given = [(i, "text", None if i % 17 == 0 else f"https://host{i % 7}.example/", 1) for i in range(800)]
+    sources = {i: s for i, _, s, _ in given}
+    got = assign_shards(table(spark, given), shards=8, dimensions=("source",)).collect()
+    spans = [{sources[r.doc_id] for r in got if r.shard == k} for k in range(8)]
+    assert len(got) == 800 and sum(map(len, spans)) <= 8 + 7  # runs of eight values, cut seven times
+    order = [sources[r.doc_id] or "" for r in sorted(got, key=lambda r: (r.shard, r.slot))]
+    assert order == sorted(order)
+
+
 def check_store(got, given):
     order = sorted(given, key=lambda x: (x[0] is not None, x[0] or 0))
     ids = ids_of("word_bpe_49k.json", [t for _, t in order], 2)

@@ -13,6 +13,9 @@ pairs, those between components. Two such sets can only link where they differ f
 centre in the same shingles, so their remaining pairs are joined on the first of these
 differences. A large group of near copies thus costs a few comparisons a document, not
 one a pair, and no link between components is missed.
+
+Only components come out, exactly. Links are no output: pairs inside a component are
+mostly not compared, so neither all pairs nor links per document can be read off.
 """
 
 from __future__ import annotations

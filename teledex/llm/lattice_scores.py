@@ -23,6 +23,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, repeat
 from typing import NamedTuple
 
 import numpy as np
@@ -62,7 +63,6 @@ class Lattice:
     """Arcs of words. A word starts with a space; only first arcs hold it."""
 
     def __init__(self, file: str):
-        import ahocorasick
         import public_tokenizers
         import sentencepiece
 
@@ -81,10 +81,26 @@ class Lattice:
         self.lengths = np.array([len(x) for x in self.arcs])
         self.first = np.array([x.startswith(b" ") for x in self.arcs])
         self.start = 1 / (_ZIPF + np.array([ranks[x] for x in self.arcs]))
-        self.find = ahocorasick.Automaton()
+        # A trie as a table: the next state by state and byte. State 0 is nowhere, 1 the start.
+        used = sorted({b for x in self.arcs for b in x})
+        self.column = np.zeros(256, np.int32)
+        self.column[used] = np.arange(1, len(used) + 1)
+        steps: list[dict[int, int]] = [{}, {}]
+        ends = {}
         for i, x in enumerate(self.arcs):
-            self.find.add_word(x.decode("latin-1"), i)
-        self.find.make_automaton()
+            state = 1
+            for b in x:
+                if b not in steps[state]:
+                    steps[state][b] = len(steps)
+                    steps.append({})
+                state = steps[state][b]
+            ends[state] = i
+        self.next = np.zeros((len(steps), len(used) + 1), np.int32)
+        for state, to in enumerate(steps):
+            if to:
+                self.next[state, self.column[list(to)]] = list(to.values())
+        self.arc_at = np.full(len(steps), -1, np.int32)
+        self.arc_at[list(ends)] = list(ends.values())
 
     def weights(self, expected: np.ndarray | None = None) -> np.ndarray:
         """Log weights of the arcs and, last, of a word's end. First arcs sum to one; so
@@ -98,21 +114,33 @@ class Lattice:
         return np.log(np.where(first, total / total[first].sum(), total / total[~first].sum()))
 
     def _laid(self, words: list[bytes]) -> tuple[np.ndarray, ...]:
-        """Arcs that fit as (arc, from, to), places of words' starts and ends, and how far
-        into its word each place is. A word of n bytes has n + 2 places."""
+        """Arcs that fit as (arc, from, to) by ``from``, places of words' starts and ends,
+        and how far into its word each place is. A word of n bytes has n + 2 places."""
         sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
         ends = np.cumsum(sizes + 1) - 1
         starts = ends - sizes
-        found = self.find.iter((b" " + b" ".join(words)).decode("latin-1"))
-        hits = np.fromiter(found, np.dtype([("last", np.int64), ("arc", np.int64)]))
-        to = hits["last"] + 1 + np.repeat(np.arange(len(words)), sizes)[hits["last"]]
+        # One byte a place; a word's last place holds a byte that no arc has.
+        column = np.append(self.column[np.frombuffer(b"\n".join([b"", *[b" " + x for x in words], b""])[1:], np.uint8)], 0)
+        place = np.arange(len(column) - 1)
+        state = np.ones(len(place), np.int32)
+        found, ahead = [], 0
+        while len(place):
+            state = self.next[state, column[place + ahead]]
+            ahead += 1
+            place, state = place[state > 0], state[state > 0]
+            arc = self.arc_at[state]
+            found.append((arc[arc >= 0], place[arc >= 0]))
+        arc, source = (np.concatenate(x) for x in zip(*found))
+        order = np.argsort(source, kind="stable")
+        arc, source = arc[order], source[order]
         inside = np.arange(ends[-1] + 1) - np.repeat(starts, sizes + 1)
-        return hits["arc"], to - self.lengths[hits["arc"]], to, starts, ends, inside
+        return arc, source, source + self.lengths[arc], starts, ends, inside
 
     @staticmethod
     def _swept(values: np.ndarray, source: np.ndarray, target: np.ndarray, weight: np.ndarray, step: np.ndarray) -> None:
-        """Adds up, in log space and step by step, what arcs bring to their targets."""
-        order = np.lexsort((target, step))
+        """Adds up, in log space and step by step, what arcs bring to their targets. Arcs
+        come by target within a step."""
+        order = np.argsort(step.astype(np.uint16) if step.max(initial=0) < 1 << 16 else step, kind="stable")
         source, target, weight, step = source[order], target[order], weight[order], step[order]
         cuts = np.flatnonzero(np.diff(step)) + 1
         for a, b in zip([0, *cuts], [*cuts, len(step)]):
@@ -124,7 +152,8 @@ class Lattice:
         arc, source, target, starts, ends, inside = laid
         reach = np.full(ends[-1] + 1, -np.inf)
         reach[starts] = 0.0
-        self._swept(reach, source, target, weights[arc], inside[target])
+        order = np.argsort(target, kind="stable")
+        self._swept(reach, source[order], target[order], weights[arc[order]], inside[target[order]])
         return reach
 
     def log_probability(self, words: list[bytes], weights: np.ndarray) -> np.ndarray:
@@ -144,7 +173,7 @@ class Lattice:
             reach = self._forward(laid, weights)
             left = np.full(len(reach), -np.inf)
             left[ends] = 0.0
-            self._swept(left, target, source, weights[arc], -inside[source])
+            self._swept(left, target, source, weights[arc], inside.max() - inside[source])
             whole = np.repeat(reach[ends], np.diff(ends, prepend=-1))
             share = np.exp(reach[source] + weights[arc] + left[target] - whole[source])
             total[:-1] += np.bincount(arc, share, len(weights) - 1)
@@ -365,22 +394,32 @@ def lattice_scores(
             cache["top"] = ({x: i for i, x in enumerate(top["word"].to_pylist())}, counts.sum(1), values)
         place, counts, values = cache["top"]
         for batch in batches:
-            out: dict[str, list] = {x: [] for x in ("n_tokens", "n_known", "base_score", "parts", "rare", "times")}
-            for text in batch["text"].to_pylist():
-                own = Counter(tokens(text))
-                times = np.fromiter(own.values(), np.int64, len(own))
-                at = np.fromiter((place.get(x, -1) for x in own), np.int64, len(own))
-                known = at >= 0
-                at, repeats = at[known], times[known]
-                out["n_tokens"].append(own.total() + 1)
-                out["n_known"].append(int(repeats @ (counts[at] > 0)) + (sum(model.ends) > 0))
-                out["base_score"].append(float(repeats @ model.base(counts[at]) + model.base(sum(model.ends))))
-                out["parts"].append(urn(repeats, values[at]).sum(0).tolist())
-                out["rare"].append([x for x, hit in zip(own, known) if not hit])
-                out["times"].append(times[~known].tolist())
-            kinds_of = [pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.float64()), pa.list_(pa.binary()), pa.list_(pa.int64())]
-            arrays = [batch["doc_id"], batch["held_out"], *[pa.array(x, t) for x, t in zip(out.values(), kinds_of)]]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "held_out", *out])
+            texts = [Counter(tokens(text)) for text in batch["text"].to_pylist()]
+            sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+            times = np.fromiter(chain.from_iterable(x.values() for x in texts), np.int64, sizes.sum())
+            words = list(chain.from_iterable(texts))
+            at = np.fromiter(map(place.get, words, repeat(-1)), np.int64, len(words))
+            text = np.repeat(np.arange(len(texts)), sizes)
+            known, rare = np.flatnonzero(at >= 0), np.flatnonzero(at < 0)
+            repeats, own, seen = times[known], text[known], counts[at[known]]
+
+            def summed(values: np.ndarray) -> np.ndarray:
+                return np.bincount(own, values, len(texts))
+
+            parts = urn(repeats, values[at[known]])
+            parts = np.stack([summed(x) for x in parts.T], 1).ravel() if len(parts) else np.zeros(len(texts) * kinds)
+            offsets = pa.array(np.concatenate([[0], np.cumsum(np.bincount(text[rare], minlength=len(texts)))]), pa.int32())
+            arrays = [
+                batch["doc_id"],
+                batch["held_out"],
+                pa.array(np.bincount(text, times, len(texts)).astype(np.int64) + 1),
+                pa.array(summed(repeats * (seen > 0)).astype(np.int64) + (sum(model.ends) > 0)),
+                pa.array(summed(repeats * model.base(seen)) + model.base(sum(model.ends))),
+                pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1) * kinds, pa.int32()), pa.array(parts)),
+                pa.ListArray.from_arrays(offsets, pa.array([words[i] for i in rare], pa.binary())),
+                pa.ListArray.from_arrays(offsets, pa.array(times[rare])),
+            ]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "parts", "rare", "times"])
 
     def by_word(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

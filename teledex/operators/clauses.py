@@ -7,9 +7,10 @@ A clause row is ``(query_id, clause_id, occur, kind, field, text, upper)``:
            or ``range`` (``text`` to ``upper``, both included)
 ``field``  one field, or null for all
 
-Every clause is first resolved against the term dictionary; one pass over the
-postings then serves all word clauses, another one the phrases if there are any. Terms, phrases and fuzzy terms score by BM25, the
-pattern kinds score 1 per matching field.
+Every clause is first resolved against the term dictionary; one pass over the postings
+then serves all word clauses, and two the phrases if there are any. Terms, phrases and
+fuzzy terms score by BM25, the pattern kinds score 1 per matching field; ``boosts`` weigh
+the fields. Postings are bucketed by document and never move.
 """
 
 from __future__ import annotations
@@ -21,8 +22,8 @@ from pyspark.sql import functions as F
 
 from ..functions.analysis import tokenize
 from ..storage import materialize
-from .index import FIELDS, SearchIndex, with_idf
-from .search import SCORE_DIGITS, TOP_K, postings_of, saturation, top_k
+from .index import FIELDS, SearchIndex, saturation, with_idf
+from .search import SCORE_DIGITS, TOP_K, boost, top_k
 
 CLAUSE_SCHEMA = (
     "query_id bigint, clause_id int, occur string, kind string, "
@@ -168,17 +169,35 @@ def _fuzzy(clauses: DataFrame, dictionary: DataFrame) -> DataFrame:
 
 
 def _ranges(clauses: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """Lexicographic, both ends included; a null end is open."""
+    """Lexicographic, both ends included; a null end is open.
+
+    A range is split into leads, the first characters its terms can have. The dictionary's
+    few distinct leads are compared with the ends; its terms join by equality on the lead.
+    All terms of an inner lead belong to the range, so only those of the leads at either
+    edge are compared themselves.
+    """
+    lead = F.substring("term", 1, _LEAD).alias("lead")
     wanted = _scoped(clauses, "range").select(
-        *_CLAUSE, "field", F.lower("text").alias("low"), F.lower("upper").alias("high")
+        *_CLAUSE, "field", F.lower("text").alias("low"), F.lower("upper").alias("high"),
+        F.substring(F.lower("text"), 1, _LEAD).alias("low_lead"),
+        F.substring(F.lower("upper"), 1, _LEAD).alias("high_lead"),
+    )
+    leads = dictionary.select("field", lead).distinct()
+    above, below = F.col("low").isNull(), F.col("high").isNull()
+    met = leads.join(wanted, "field").filter(
+        (above | (F.col("lead") >= F.col("low_lead"))) & (below | (F.col("lead") <= F.col("high_lead")))
     )
-    term = F.col("term")
-    inside = (F.col("low").isNull() | (term >= F.col("low"))) & (
-        F.col("high").isNull() | (term <= F.col("high"))
-    )
-    return _resolved(
-        dictionary.join(wanted, "field").filter(inside), F.lit(1.0), constant=True
+    # At an edge the end itself is kept to compare with; inside it no longer matters.
+    met = met.withColumns(
+        {
+            "low": F.when(F.col("lead") == F.col("low_lead"), F.col("low")),
+            "high": F.when(F.col("lead") == F.col("high_lead"), F.col("high")),
+        }
     )
+    term = F.col("term")
+    inside = (above | (term >= F.col("low"))) & (below | (term <= F.col("high")))
+    found = dictionary.select("field", "term", lead).join(met, ["field", "lead"]).filter(inside)
+    return _resolved(found, F.lit(1.0), constant=True)
 
 
 _KINDS = {
@@ -191,8 +210,10 @@ _KINDS = {
 }
 
 
-def resolve_clauses(clauses: DataFrame, index: SearchIndex) -> DataFrame:
-    """Dictionary terms behind every clause. Only the kinds in use enter the plan."""
+def resolve_clauses(
+    clauses: DataFrame, index: SearchIndex, boosts: dict[str, float] | None = None
+) -> DataFrame:
+    """Dictionary terms behind every clause, weighted. Only the kinds in use enter the plan."""
     dictionary = with_idf(index.terms, index.fields)
     unknown = clauses.filter(~F.coalesce(F.col("kind").isin(list(_KINDS)), F.lit(False)))
     if not unknown.isEmpty():
@@ -204,30 +225,45 @@ def resolve_clauses(clauses: DataFrame, index: SearchIndex) -> DataFrame:
         raise ValueError("a prefix or wildcard must start with a literal character")
     used = [row.kind for row in clauses.select("kind").distinct().collect()]  # six at most
     resolvers = dict.fromkeys(_KINDS[kind] for kind in used or ["term"])
-    return reduce(DataFrame.unionByName, [resolve(clauses, dictionary) for resolve in resolvers])
+    rows = reduce(DataFrame.unionByName, [resolve(clauses, dictionary) for resolve in resolvers])
+    return rows.withColumn("weight", F.col("weight") * boost(F.col("field"), boosts))
 
 
 _PLACE = [*_CLAUSE, "field", "doc_id"]
 
 
+def _postings(index: SearchIndex, *columns: str) -> DataFrame:
+    return index.postings.select("doc_id", "field", "term", *columns)
+
+
 def _word_hits(index: SearchIndex, wanted: DataFrame) -> DataFrame:
     """Clauses that any of their terms satisfies."""
-    rows = postings_of(index, wanted, ["tf", "length"])
+    rows = _postings(index, "tf", "length").join(wanted, ["field", "term"])
     part = F.col("weight") * saturation(F.col("tf"), F.col("length"), F.col("mean_length"))
-    score = F.when(F.max("constant"), F.lit(1.0)).otherwise(F.sum(part))
+    score = F.when(F.max("constant"), F.max("weight")).otherwise(F.sum(part))
     return rows.groupBy(_PLACE).agg(score.alias("score"))
 
 
 def _phrase_hits(index: SearchIndex, wanted: DataFrame) -> DataFrame:
-    """A phrase occurs where all its words agree on where it starts: per document,
-    intersect the starts that each word's positions allow."""
-    rows = postings_of(index, wanted, ["length", "positions"])
+    """A phrase occurs where all its words agree on where it starts.
+
+    First documents that hold all words are counted, without positions. Only of these the
+    positions are gathered: per document, the starts that each word's allow intersect.
+    """
+    words = wanted.select(*_CLAUSE, "field", "term", "slots").distinct()
+    distinct = wanted.groupBy(*_CLAUSE, "field").agg(F.count_distinct("term").alias("words"))
+    held = _postings(index).join(words, ["field", "term"]).groupBy(_PLACE).agg(F.count(F.lit(1)).alias("held"))
+    whole = held.join(distinct, [*_CLAUSE, "field"]).filter(F.col("held") == F.col("words")).select(_PLACE)
+    # Per document the clauses to look at: one row that meets all of its postings.
+    clause = F.struct(*_CLAUSE, "field")
+    asked = whole.groupBy("doc_id").agg(F.collect_set(clause).alias("asked"))
+    rows = _postings(index, "length", "positions").join(wanted, ["field", "term"]).join(asked, "doc_id")
+    rows = rows.filter(F.array_contains("asked", clause)).drop("asked")
     details = ("weight", "length", "mean_length", "slots")
     per_document = (
         rows.withColumn("starts", F.transform("positions", lambda p: p - F.col("slot")))
         .groupBy(_PLACE)
         .agg(F.collect_list("starts").alias("starts"), *[F.max(c).alias(c) for c in details])
-        .filter(F.size("starts") == F.col("slots"))
     )
     shared = F.aggregate(
         F.slice("starts", F.lit(2), F.size("starts")), F.get("starts", F.lit(0)), F.array_intersect
@@ -237,12 +273,14 @@ def _phrase_hits(index: SearchIndex, wanted: DataFrame) -> DataFrame:
     return counted.select(*_PLACE, score.alias("score"))
 
 
-def clause_hits(clauses: DataFrame, index: SearchIndex) -> DataFrame:
+def clause_hits(
+    clauses: DataFrame, index: SearchIndex, boosts: dict[str, float] | None = None
+) -> DataFrame:
     """``(query_id, clause_id, occur, field, doc_id, score)`` of every matching clause.
 
     Positions, the bulk of the postings, are read only when there are phrases.
     """
-    resolved = resolve_clauses(clauses, index).join(
+    resolved = resolve_clauses(clauses, index, boosts).join(
         index.fields.select("field", "mean_length"), "field"
     )
     in_phrase = F.col("slot").isNotNull()
@@ -254,9 +292,15 @@ def clause_hits(clauses: DataFrame, index: SearchIndex) -> DataFrame:
     return reduce(DataFrame.unionByName, hits or [_word_hits(index, wanted)])
 
 
-def search_clauses(clauses: DataFrame, index: SearchIndex, k: int = TOP_K) -> DataFrame:
+def search_clauses(
+    clauses: DataFrame,
+    index: SearchIndex,
+    k: int = TOP_K,
+    boosts: dict[str, float] | None = None,
+) -> DataFrame:
     """``(query_id, doc_id, score, rank)``: documents that match every ``must`` clause,
-    no ``must_not`` clause and, without a ``must``, at least one ``should``.
+    no ``must_not`` clause and, without a ``must``, at least one ``should``. ``boosts``
+    weigh what a clause scores in a field, for all kinds of clauses.
 
     A ``must`` clause of terms or a phrase that holds no word demands nothing.
     """
@@ -264,7 +308,7 @@ def search_clauses(clauses: DataFrame, index: SearchIndex, k: int = TOP_K) -> Da
     wordless = F.col("kind").isin("term", "phrase") & (F.size(tokenize(F.coalesce("text", F.lit("")))) == 0)
     demanded = clauses.groupBy("query_id").agg(F.count_if((occur == "must") & ~wordless).alias("demanded"))
     documents = (
-        clause_hits(clauses, index)
+        clause_hits(clauses, index, boosts)
         .groupBy("query_id", "doc_id")
         .agg(
             F.count_distinct(F.when(occur == "must", F.col("clause_id"))).alias("must"),

@@ -1,15 +1,20 @@
 """Full-text index as tables.
 
 ``postings``  one row per (document, field, term): count, positions, field length
-``terms``     dictionary: documents per (field, term)
+``terms``     dictionary: per (field, term) its documents and its highest share of a score
 ``fields``    documents and mean length per field
 
-A document's postings are computed inside its own row, so building them moves no
-data, and they stay together: no term, however common, gathers in one task.
+Documents are dealt into buckets once, before they are analyzed; a document's postings are
+computed inside its own row and stay in its bucket, sorted by (field, term). So no term,
+however common, gathers in one task, and searches, which group by document, never move
+postings. The dictionary is sorted by (field, term) as a whole.
+
+An index folder holds versions, each complete on its own; the last complete one counts.
 """
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
 from ..functions.analysis import term_groups, tokenize
-from ..storage import new_path
+from ..storage import folders, mark, marked, new_path, remove
 
 # --- Fixed values: they decide the results and must stay as they are. -----------
 FIELDS = [
@@ -26,6 +31,7 @@ FIELDS = [
     "country", "network", "plot", "num_seasons", "num_episodes", "runtime",
 ]
 EXACT_FIELDS = ["year", "status", "num_seasons", "num_episodes"]
+K1, B = 1.2, 0.75
 # --------------------------------------------------------------------------------
 
 
@@ -92,9 +98,17 @@ def field_stats(postings: DataFrame) -> DataFrame:
     )
 
 
-def term_stats(postings: DataFrame) -> DataFrame:
-    """``(field, term, df)``; counted map-side first, so common terms are cheap."""
-    return postings.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
+def saturation(tf: Column, length: Column, mean_length: Column) -> Column:
+    """What a posting adds to a score per unit of its term's weight: below 1."""
+    return tf / (tf + K1 * (1 - B + B * length / mean_length))
+
+
+def term_stats(postings: DataFrame, fields: DataFrame) -> DataFrame:
+    """``(field, term, df, top_share)``; counted map-side first, so common terms are cheap.
+    ``top_share`` bounds what the term adds to any document's score."""
+    share = saturation(F.col("tf"), F.col("length"), F.col("mean_length"))
+    known = postings.join(F.broadcast(fields.select("field", "mean_length")), "field")  # a row per field
+    return known.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"), F.max(share).alias("top_share"))
 
 
 def with_idf(terms: DataFrame, fields: DataFrame) -> DataFrame:
@@ -110,29 +124,66 @@ class SearchIndex:
     fields: DataFrame
 
 
-def write_index(fields: DataFrame, path: str) -> SearchIndex:
-    """Build from ``(doc_id, field, value)`` rows, replacing what ``path`` holds.
+def _table_name(folder: str) -> str:
+    return f"teledex_postings_{hashlib.md5(folder.encode()).hexdigest()}"
+
+
+def write_index(fields: DataFrame, path: str, buckets: int | None = None) -> SearchIndex:
+    """Build from ``(doc_id, field, value)`` rows as a new version under ``path``.
 
-    Postings files are sorted by (field, term), so a scan for some terms skips row
-    groups; the two small tables are counted from the written postings.
+    ``buckets`` (by default the session's shuffle partitions) is how many tasks a search
+    has: choose it so that a bucket's postings suit one task. The fields of a document
+    should come from one row, so that dealing them out moves each text once. The version
+    before the new one stays for those who still read it; older ones are removed.
     """
     spark = fields.sparkSession
-    build_postings(fields).sortWithinPartitions("field", "term").write.mode("overwrite").parquet(
-        f"{path}/postings"
-    )
-    postings = spark.read.parquet(f"{path}/postings")
-    term_stats(postings).write.mode("overwrite").parquet(f"{path}/terms")
-    field_stats(postings).write.mode("overwrite").parquet(f"{path}/fields")
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    older = _versions(spark, path)
+    number = 1 + int(older[-1].split("-")[0]) if older else 1
+    folder = f"{path.rstrip('/')}/{number:08d}-{buckets}"
+    postings = build_postings(fields.repartition(buckets, "doc_id"))
+    writer = postings.write.format("parquet").bucketBy(buckets, "doc_id").sortBy("field", "term")
+    writer.option("path", f"{folder}/postings").saveAsTable(_table_name(folder))
+    postings = spark.table(_table_name(folder))
+    field_stats(postings).write.parquet(f"{folder}/fields")
+    stats = term_stats(postings, spark.read.parquet(f"{folder}/fields"))
+    ordered = stats.repartitionByRange("field", "term").sortWithinPartitions("field", "term")
+    ordered.write.parquet(f"{folder}/terms")
+    mark(spark, folder)
+    for name in older[:-1]:
+        spark.sql(f"DROP TABLE IF EXISTS {_table_name(f'{path.rstrip('/')}/{name}')}")
+        remove(spark, f"{path.rstrip('/')}/{name}")
     return read_index(spark, path)
 
 
-def read_index(spark: SparkSession, path: str) -> SearchIndex:
-    return SearchIndex(
-        *[spark.read.parquet(f"{path}/{name}") for name in ("postings", "terms", "fields")]
-    )
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    """Names of the complete versions under a path, oldest first."""
+    return sorted(name for name in folders(spark, path) if marked(spark, f"{path.rstrip('/')}/{name}"))
 
 
-def index_records(records: DataFrame, doc_id: str = "doc_id", path: str | None = None) -> SearchIndex:
+def read_index(spark: SparkSession, path: str) -> SearchIndex:
+    """The last complete version. Its bucketed postings are made known to the session's
+    catalog, which is how Spark learns of buckets."""
+    versions = _versions(spark, path)
+    if not versions:
+        raise ValueError(f"no index under {path}")
+    folder = f"{path.rstrip('/')}/{versions[-1]}"
+    name, buckets = _table_name(folder), versions[-1].split("-")[1]
+    if not spark.catalog.tableExists(name):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(f"{folder}/postings").schema)
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet CLUSTERED BY (doc_id) "
+            f"SORTED BY (field, term) INTO {buckets} BUCKETS LOCATION '{folder}/postings'"
+        )
+    return SearchIndex(spark.table(name), *[spark.read.parquet(f"{folder}/{x}") for x in ("terms", "fields")])
+
+
+def index_records(
+    records: DataFrame, doc_id: str = "doc_id", path: str | None = None, buckets: int | None = None
+) -> SearchIndex:
     """Index records; without ``path`` into a new folder of the shared one."""
-    path = path or new_path(records.sparkSession, "index")
-    return write_index(search_fields(records, doc_id), path)
+    spark = records.sparkSession
+    path = path or new_path(spark, "index")
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Dealt before the fields are listed: each record moves once, as it is.
+    return write_index(search_fields(records.repartition(buckets, doc_id), doc_id), path, buckets)

@@ -2,23 +2,34 @@
 
 Scores are BM25 summed over query words and fields (Robertson & Zaragoza 2009,
 without the constant factor k1 + 1, which does not change the order).
+
+The best ``k`` are found without scoring every document that holds a query word. The
+dictionary bounds what a word can add to a score (its weight times its highest share):
+
+1. A query's leading words, those of the highest bounds that make up half of their sum,
+   are scored alone. The k-th best sum is a floor: the k-th best score is no lower.
+2. Words of the lowest bounds that together stay below the floor can't lift a document
+   over it by themselves. All other words are scored; documents without any of them, and
+   those that stay below the floor even with the whole bound of the left-out words, go.
+3. Only the documents that remain get the shares of the left-out (common) words added.
+
+Postings are bucketed by document, so all of this happens where they lie. What moves is
+sums per query and document, few thanks to the floor, and ``k`` rows per query and task.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.analysis import tokenize
 from ..functions.regex import strip
-from ..storage import BROADCAST_ROWS, materialize
-from .index import SearchIndex, with_idf
+from ..sources.jsonl import parsed
+from ..storage import materialize
+from .index import SearchIndex, saturation, with_idf
 
 # --- Fixed values: they decide the results and must stay as they are. -----------
-K1, B = 1.2, 0.75
 TOP_K = 10
 BOOSTS = {
     "title": 2.0,
@@ -35,11 +46,12 @@ BOOSTS = {
 }
 # --------------------------------------------------------------------------------
 
-# Most distinct terms that become filters of the postings scan.
-PUSHED_TERMS = 50
-
 # Sums of doubles depend on the order of rows; ranking on rounded scores does not.
 SCORE_DIGITS = 6
+# Bounds and floors are compared with room for that rounding.
+ROOM = 1e-5
+# Share of a query's summed bounds that its leading words have. Any value gives equal rows.
+LEADING = 0.5
 
 
 def query_terms(queries: DataFrame) -> DataFrame:
@@ -58,47 +70,29 @@ def boost(field: Column, boosts: dict[str, float] | None) -> Column:
     return F.coalesce(F.try_element_at(F.create_map(*pairs), field), F.lit(1.0))
 
 
-def saturation(tf: Column, length: Column, mean_length: Column) -> Column:
-    return tf / (tf + K1 * (1 - B + B * length / mean_length))
-
-
 def query_weights(
     queries: DataFrame,
     index: SearchIndex,
     fields: list[str] | None = None,
     boosts: dict[str, float] | None = None,
 ) -> DataFrame:
-    """``(query_id, field, term, weight, mean_length)``: each query word in each field
+    """``(query_id, field, term, weight, bound, mean_length)``: each query word in each field
     that contains it. Only as large as the queries, not as the collection."""
     terms = index.terms if fields is None else index.terms.filter(F.col("field").isin(fields))
     known = with_idf(terms.join(query_terms(queries), "term"), index.fields)
     weight = F.col("repeats") * F.col("idf") * boost(F.col("field"), boosts)
-    return known.select("query_id", "field", "term", weight.alias("weight"), "mean_length")
-
+    return known.select(
+        "query_id", "field", "term", weight.alias("weight"),
+        (weight * F.col("top_share")).alias("bound"), "mean_length",
+    )
 
-def postings_of(index: SearchIndex, wanted: DataFrame, columns: list[str]) -> DataFrame:
-    """Rows of ``wanted``, a written table with ``(field, term)``, with their postings.
 
-    While ``wanted`` has at most ``BROADCAST_ROWS`` rows it is broadcast, twice:
-    first to keep only the wanted postings, then, once those are partitioned by
-    document, to join them. Common terms are spread evenly that way, and all that
-    follows per document needs no further shuffle.
-
-    Beyond that size both sides are shuffled by term, where the run-time skew handling
-    splits the common ones.
-
-    A few terms (:data:`PUSHED_TERMS`) are also pushed into the scan as plain filters;
-    postings files are sorted by term, so it then reads little else than their pages.
-    """
-    keys = ["field", "term"]
-    postings = index.postings.select("doc_id", *keys, *columns)
-    if wanted.count() > BROADCAST_ROWS:
-        return postings.join(wanted, keys)
-    few = wanted.select("term").distinct().limit(PUSHED_TERMS + 1).collect()
-    if 0 < len(few) <= PUSHED_TERMS:
-        postings = postings.filter(reduce(or_, [F.col("term") == row.term for row in few]))
-    kept = postings.join(F.broadcast(wanted.select(*keys).distinct()), keys, "left_semi")
-    return kept.repartition("doc_id").join(F.broadcast(wanted), keys)
+def summed_hits(weights: DataFrame, index: SearchIndex) -> DataFrame:
+    """``(query_id, doc_id, score)``: unrounded sums over the given words. How the words
+    reach the postings is left to the optimizer, which knows the written table's size."""
+    hits = index.postings.select("doc_id", "field", "term", "tf", "length").join(weights, ["field", "term"])
+    part = F.col("weight") * saturation(F.col("tf"), F.col("length"), F.col("mean_length"))
+    return hits.groupBy("query_id", "doc_id").agg(F.sum(part).alias("score"))
 
 
 def score_documents(
@@ -109,9 +103,8 @@ def score_documents(
 ) -> DataFrame:
     """``(query_id, doc_id, score)`` for every document holding a query word."""
     weights = materialize(query_weights(queries, index, fields, boosts), "weights")
-    hits = postings_of(index, weights, ["tf", "length"])
-    part = F.col("weight") * saturation(F.col("tf"), F.col("length"), F.col("mean_length"))
-    return hits.groupBy("query_id", "doc_id").agg(F.round(F.sum(part), SCORE_DIGITS).alias("score"))
+    scores = summed_hits(weights, index)
+    return scores.withColumn("score", F.round("score", SCORE_DIGITS))
 
 
 def top_k(scores: DataFrame, k: int = TOP_K) -> DataFrame:
@@ -121,6 +114,44 @@ def top_k(scores: DataFrame, k: int = TOP_K) -> DataFrame:
     return scores.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
+def _floors(sums: DataFrame, k: int) -> DataFrame:
+    """``(query_id, floor)``: the k-th best of the sums, for queries with so many."""
+    return top_k(sums, k).filter(F.col("rank") == k).select("query_id", F.col("score").alias("floor"))
+
+
+def _ranked_words(weights: DataFrame) -> DataFrame:
+    """Words with ``leading`` and ``rest``: the bounds of the word and of all lower ones."""
+    order = Window.partitionBy("query_id").orderBy("bound", "field", "term")
+    whole = F.sum("bound").over(Window.partitionBy("query_id"))
+    lower = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = weights.withColumn("rest", F.sum("bound").over(lower)).withColumn("whole", whole)
+    return ranked.withColumn("leading", F.col("rest") > (1 - LEADING) * F.col("whole")).drop("whole")
+
+
+def candidates(
+    queries: DataFrame,
+    index: SearchIndex,
+    fields: list[str] | None = None,
+    boosts: dict[str, float] | None = None,
+    k: int = TOP_K,
+) -> tuple[DataFrame, DataFrame]:
+    """Documents that can be among the best ``k``, ``(query_id, doc_id, score)`` with sums
+    that lack the left-out words, and those words ``(query_id, field, term, weight,
+    mean_length)``."""
+    words = materialize(_ranked_words(query_weights(queries, index, fields, boosts)), "weights")
+    floors = materialize(_floors(summed_hits(words.filter("leading"), index), k), "floors")
+    judged = words.join(floors, "query_id", "left")
+    judged = judged.withColumn("left_out", F.coalesce(F.col("rest") < F.col("floor") - ROOM, F.lit(False)))
+    scored = materialize(summed_hits(judged.filter("NOT left_out"), index), "sums")
+    room = judged.groupBy("query_id").agg(F.coalesce(F.max(F.when(F.col("left_out"), F.col("rest"))), F.lit(0.0)).alias("room"))
+    limits = room.join(_floors(scored, k), "query_id", "left")
+    near = scored.join(limits, "query_id").filter(
+        F.col("floor").isNull() | (F.col("score") + F.col("room") >= F.col("floor") - ROOM)
+    )
+    out = judged.filter("left_out").select("query_id", "field", "term", "weight", "mean_length")
+    return materialize(near.select("query_id", "doc_id", "score"), "candidates"), out
+
+
 def search(
     queries: DataFrame,
     index: SearchIndex,
@@ -129,16 +160,41 @@ def search(
     k: int = TOP_K,
 ) -> DataFrame:
     """``(query_id, doc_id, score, rank)``. All fields unboosted by default; pass
-    :data:`BOOSTS` for the preset weights."""
-    return top_k(score_documents(queries, index, fields, boosts), k)
+    :data:`BOOSTS` for the preset weights; a boost is never negative."""
+    near, left_out = candidates(queries, index, fields, boosts, k)
+    # A document's shares of all left-out words, then each query's weights for them.
+    words = left_out.groupBy("field", "term").agg(F.first("mean_length").alias("mean_length"))
+    words = materialize(words.withColumn("word", F.monotonically_increasing_id()), "word-numbers")
+    share = saturation(F.col("tf"), F.col("length"), F.col("mean_length"))
+    held = index.postings.select("doc_id", "field", "term", "tf", "length").join(words, ["field", "term"])
+    held = held.join(near.select("doc_id").distinct(), "doc_id", "left_semi")
+    shares = held.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("word", share.alias("share")))).alias("shares"))
+    wanted = left_out.join(words.select("field", "term", "word"), ["field", "term"])
+    wanted = wanted.groupBy("query_id").agg(F.collect_list(F.struct("word", "weight")).alias("wanted"))
+    full = near.join(wanted, "query_id", "left").join(shares, "doc_id", "left")
+    part = lambda total, w: total + w["weight"] * F.coalesce(F.try_element_at("shares", w["word"]), F.lit(0.0))
+    more = F.when(F.col("shares").isNotNull() & F.col("wanted").isNotNull(), F.aggregate("wanted", F.lit(0.0), part))
+    score = F.round(F.col("score") + F.coalesce(more, F.lit(0.0)), SCORE_DIGITS)
+    return top_k(full.select("query_id", "doc_id", score.alias("score")), k)
+
+
+def _named(hits: DataFrame) -> DataFrame:
+    return materialize(
+        hits.select("query_id", "rank", F.col("doc_id"), F.col("score").alias("relevance")), "hits"
+    )
 
 
 def hydrate(hits: DataFrame, records: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     """Hits with the full record. Hits are few, so the records need not move."""
-    found = materialize(
-        hits.select("query_id", "rank", F.col("doc_id"), F.col("score").alias("relevance")), "hits"
-    )
-    return found.join(records.withColumnRenamed(doc_id, "doc_id"), "doc_id")
+    return _named(hits).join(records.withColumnRenamed(doc_id, "doc_id"), "doc_id")
+
+
+def hydrate_lines(hits: DataFrame, lines: DataFrame, schema: StructType) -> DataFrame:
+    """Hits with their records, from numbered lines of JSON (``sources.jsonl``): only the
+    lines of hits are parsed."""
+    found = _named(hits)
+    wanted = lines.join(found.select("doc_id").distinct(), "doc_id", "left_semi")
+    return found.join(parsed(wanted, schema), "doc_id")
 
 
 def report(hydrated: DataFrame) -> DataFrame:

@@ -155,32 +155,34 @@ def wiki_records(part: DataFrame) -> DataFrame:
 
 
 def catalogue(documents: DataFrame) -> DataFrame:
-    """Merged-style records to index: one per document."""
+    """Merged-style records to index, one per document, with every searchable field."""
     key = F.col("doc_id")
     return documents.select(
         "doc_id",
         _text("Doc ", key).alias("title"),
         (1950 + key % 70).cast("int").alias("year"),
+        F.when(key % 3 != 0, _text("TV ", key % 5)).alias("certification"),
         F.array("source", "lang").alias("genres"),
         (key % 5).cast("int").alias("score"),
+        F.when(key % 4 != 0, F.array(_text("Creator ", key % 6))).alias("creator"),
         F.when(key % 2 == 0, "Ended").otherwise("").alias("status"),
-        F.col("lang").alias("language"),
-        F.lit(None).cast("string").alias("certification"),
         F.lit("Scripted").alias("type"),
-        F.array().cast("array<string>").alias("creator"),
+        F.col("lang").alias("language"),
+        F.when(key % 7 == 0, F.array().cast("array<string>")).otherwise(F.array(_text("kw", key % 9), F.lit("series"))).alias("keywords"),
         F.array(_text("Person ", key % 10)).alias("cast"),
-        F.array().cast("array<string>").alias("keywords"),
         F.col("lang").alias("country"),
-        F.col("source").alias("network"),
+        (key % 8).cast("string").alias("num_seasons"),
         F.col("n_chars").cast("string").alias("num_episodes"),
+        _text(20 + key % 50, " minutes").alias("runtime"),
+        F.col("source").alias("network"),
         F.col("text").alias("plot"),
     )
 
 
 def benchmark_queries(benchmark: DataFrame) -> DataFrame:
-    """One query per benchmark text, with a year and a name, and a blank one beside each
-    under a negative id."""
+    """One query per benchmark text, with words of all other fields, and a blank one beside
+    each under a negative id."""
     key = F.col("item_id")
-    text = _text(F.col("text"), " ", 1950 + key % 70, " person Ended ", key % 10)
+    text = _text(F.col("text"), " ", 1950 + key % 70, " person creator minutes Ended kw", key % 9, " tv src", key % 20, " ", key % 10)
     blank = benchmark.select((-1 - key).alias("query_id"), F.lit("  ").alias("text"))
     return benchmark.select(key.alias("query_id"), text.alias("text")).unionByName(blank)

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.regex import strip
-from ..storage import materialize
+from ..storage import materialize, running_sum
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -28,16 +28,17 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite", files: int |
     return rows.get["rows"]
 
 
-def _numbered_lines(lines: DataFrame) -> DataFrame:
-    """``(line_number, value)``: 0-based, in (file, offset) order, blank lines counted.
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``(doc_id, value)``: lines with their 0-based number, in (file, offset) order. Blank
+    lines are counted and left out.
 
     The lines are written once with the block and the row number of the scan that read
     them; counts, offsets and every later use come from that table, so neither another
-    split of the input nor new files can change a number or lose a line. Only one row per
-    block (its line count) is sorted to turn places into global numbers.
+    split of the input nor new files can change a number or lose a line. Places become
+    global numbers by a running sum over the blocks, dealt out by ranges.
     """
     block = ["path", "block"]
-    placed = lines.select(
+    placed = spark.read.text(path).select(
         "value",
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("block"),
@@ -45,20 +46,18 @@ def _numbered_lines(lines: DataFrame) -> DataFrame:
     )
     placed = materialize(placed, "lines")
     blocks = placed.groupBy(block).agg(F.count(F.lit(1)).alias("n"), F.min("seq").alias("first"))
-    before = Window.orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
-    starts = blocks.select(
-        *block, "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset")
-    )
-    starts = materialize(starts, "line-offsets")
-    return placed.join(starts, block).select(
-        (F.col("seq") - F.col("first") + F.col("offset")).alias("line_number"), "value"
+    starts = running_sum(blocks, block, "n", "offset")
+    return placed.join(starts, block).filter(strip(F.col("value")) != "").select(
+        (F.col("seq") - F.col("first") + F.col("offset")).alias("doc_id"), "value"
     )
 
 
+def parsed(lines: DataFrame, schema: StructType) -> DataFrame:
+    """Records of ``(doc_id, value)`` lines; a malformed line fails the job."""
+    record = F.from_json("value", schema, {"mode": "FAILFAST"})
+    return lines.select("doc_id", record.alias("r")).select("doc_id", "r.*")
+
+
 def read_numbered_jsonl(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Records with their line number as ``doc_id``."""
-    lines = _numbered_lines(spark.read.text(path)).filter(strip(F.col("value")) != "")
-    record = F.from_json("value", schema, {"mode": "FAILFAST"})
-    return lines.select(F.col("line_number").alias("doc_id"), record.alias("r")).select(
-        "doc_id", "r.*"
-    )
+    return parsed(numbered_lines(spark, path), schema)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Most rows of a narrow table (numbers and short strings, commonly under 100 bytes a
@@ -56,9 +56,51 @@ def discard(*tables: DataFrame) -> None:
 
 def remove(spark: SparkSession, folder: str) -> None:
     """Removes a folder of any file system Spark knows; nothing happens if it is missing."""
-    context = spark.sparkContext
-    path = context._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    path, system = _file_system(spark, folder)
+    system.delete(path, True)
+
+
+def running_sum(table: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
+    """``table``, written, with the sum of ``value`` over all rows before each, in the order
+    of ``keys`` (distinct), as ``name``.
+
+    Rows are dealt out by ranges of the keys and each task sums its own range; only the
+    tasks' totals, one number each, go through the driver.
+    """
+    dealt = table.repartitionByRange(*keys).withColumn("_part", F.spark_partition_id())
+    dealt = materialize(dealt, "ranges")
+    order = Window.partitionBy("_part").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    shifts, total = [], 0
+    for part in sorted(dealt.groupBy("_part").agg(F.sum(value).alias("own")).collect()):
+        shifts.append((part["_part"], total))
+        total += part.own
+    shifts = dealt.sparkSession.createDataFrame(shifts, "_part int, _shift bigint")
+    summed = dealt.withColumn(name, F.coalesce(F.sum(value).over(order), F.lit(0)))
+    shifted = summed.join(F.broadcast(shifts), "_part")  # a row per task
+    moved = (F.col(name) + F.col("_shift")).alias(name)
+    return materialize(shifted.select(*table.columns, moved), "running-sums")
+
+
+def _file_system(spark: SparkSession, folder: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none if it is missing."""
+    where, system = _file_system(spark, path)
+    return [x.getPath().getName() for x in system.listStatus(where) if x.isDirectory()] if system.exists(where) else []
+
+
+def mark(spark: SparkSession, folder: str) -> None:
+    """Marks a folder as complete; see :func:`marked`."""
+    where, system = _file_system(spark, f"{folder}/_COMPLETE")
+    system.create(where, True).close()
+
+
+def marked(spark: SparkSession, folder: str) -> bool:
+    where, system = _file_system(spark, f"{folder}/_COMPLETE")
+    return system.exists(where)
 
 
 def broadcast_checked(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:

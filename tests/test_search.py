@@ -12,9 +12,10 @@ from teledex.operators import index as ix
 from teledex.operators import search as se
 from teledex.operators.html_records import extract_html_records
 from teledex.operators.wiki_records import extract_wiki_records
-from teledex.plans.rendered import html_pages, table, wiki_pages
+from teledex.plans.rendered import benchmark_queries, catalogue, html_pages, table, wiki_pages
 from teledex.schemas import MERGED_RECORD
-from teledex.storage import new_path
+from teledex.sources.jsonl import numbered_lines, write_jsonl
+from teledex.storage import folders, new_path
 
 WORDS = "the a star ship captain lost found night day show drama war love écran".split()
 
@@ -283,28 +284,111 @@ def test_expensive_captures_run_once(spark, sf_dir):
     assert text.count(r"[^{}]*+(?:") == 1
 
 
-def test_search_shuffles_postings_once(spark, index):
-    queries = spark.createDataFrame([(1, "the lost ship")], "query_id bigint, text string")
-    text = plan(se.search(queries, index))
+def above_postings(df):
+    """Per postings scan the operators above it up to the first aggregate, from the plan's
+    tree: each line is the child of the last line that is indented less."""
+    stack, found = [], []
+    for line in plan(df).split("\n"):
+        depth = len(line) - len(line.lstrip(" :+-*"))
+        while stack and stack[-1][0] >= depth:
+            stack.pop()
+        stack.append((depth, line.lstrip(" :+-*")))
+        if "Scan parquet" in line and "teledex_postings" in line:
+            assert "Bucketed: true" in line
+            names = []
+            for _, above in reversed(stack[:-1]):
+                if "Aggregate" in above:
+                    break
+                names.append(above)
+            found.append(names)
+    return found
+
+
+QUERY_ROWS = "query_id bigint, text string"
+
+
+def no_postings_move(df):
+    scans = above_postings(df)
+    assert scans and not any("Exchange" in name for names in scans for name in names)
+
+
+def test_no_search_moves_postings(spark, index):
+    queries = spark.createDataFrame([(1, "the lost ship"), (2, "the star war")], QUERY_ROWS)
+    words = se.materialize(se.query_weights(queries, index), "weights")
+    df = se.search(queries, index, k=2)
+    no_postings_move(df)
+    no_postings_move(se.summed_hits(words, index))
+    no_postings_move(se.score_documents(queries, index))
+    text = plan(df)
     assert "WindowGroupLimit" in text and "CartesianProduct" not in text and "NestedLoop" not in text
-    # one exchange by document, one by query; the third prepares the small term list
-    assert text.count("Exchange hashpartitioning(doc_id") == 1
-    assert text.count("Exchange hashpartitioning(query_id") == 1
-
-
-def test_few_terms_reach_the_scan(spark, index):
-    queries = spark.createDataFrame([(1, "lost ship")], "query_id bigint, text string")
-    text = plan(se.search(queries, index))
-    assert re.search(r"PushedFilters: \[[^\]]*Or\(EqualTo\(term,\w+\),EqualTo\(term,\w+\)\)", text)
-
-
-def test_queries_too_many_to_broadcast(spark, records, index, monkeypatch):
-    monkeypatch.setattr(se, "BROADCAST_ROWS", 0)
-    monkeypatch.setattr(se, "PUSHED_TERMS", 0)
+    for rows in (
+        [("must", "term", "plot", "lost"), ("should", "prefix", None, "st")],
+        [("must", "phrase", "plot", "the star"), ("should", "fuzzy", "plot", "starx"), ("must", "range", "year", "1999", "2001")],
+    ):
+        data = [(1, i, *row, *[None] * (5 - len(row))) for i, row in enumerate(rows)]
+        no_postings_move(cl.clause_hits(spark.createDataFrame(data, cl.CLAUSE_SCHEMA), index))
+
+
+def test_indexing_moves_each_record_once(spark, frame):
+    fields = ix.search_fields(frame.repartition(8, "doc_id"))
+    assert plan(ix.build_postings(fields.repartition(8, "doc_id"))).count("Exchange") == 1
+
+
+def test_phrases_read_positions_of_whole_matches_only(spark, index):
+    data = [(1, 0, "must", "phrase", "plot", "the star", None)]
+    text = plan(cl.clause_hits(spark.createDataFrame(data, cl.CLAUSE_SCHEMA), index))
+    scans = [line for line in text.split("\n") if "Scan parquet" in line and "teledex_postings" in line]
+    assert sum("positions:array<int>" in line.split("ReadSchema")[1] for line in scans) == 1 and len(scans) == 2
+
+
+def test_ranges_join_terms_by_their_lead(spark, index):
+    dictionary = ix.with_idf(index.terms, index.fields)
+    data = [(1, 0, "must", "range", "year", "1999", "2001")]
+    text = plan(cl._ranges(spark.createDataFrame(data, cl.CLAUSE_SCHEMA), dictionary))
+    assert re.search(r"Join \[field#\d+, lead#\d+\], \[field#\d+, lead#\d+\]", text)
+
+
+@pytest.mark.parametrize("low, high", [("a", "captainz"), (None, "lost"), ("sh", None), ("love", "love"), ("z", "a"), (None, None), ("", "n")])
+def test_ranges_equal_comparison(spark, records, index, low, high):
+    hits = run(spark, index, ("must", "range", "plot", low, high))
+    inside = lambda x: (low is None or x >= low) and (high is None or x <= high)
+    assert found(hits) == docs_with(records, "plot", lambda t: any(map(inside, t)))
+
+
+def test_boosts_weigh_clauses(spark, records, index):
+    rows = [(1, 0, "should", "term", None, "star", None), (1, 1, "should", "prefix", "title", "st", None), (1, 2, "should", "phrase", "title", "star", None)]
+    clauses = spark.createDataFrame(rows, cl.CLAUSE_SCHEMA)
+    boosts = {"title": 3.0, "plot": 0.25, "keywords": 0.0}
+    tokens, want = field_tokens(records), {}
+    for field in ix.FIELDS:
+        for doc, t in tokens[field].items():
+            if "star" in t:
+                part = idf(tokens, field, "star") * norm(tokens, field, doc, t.count("star")) * boosts.get(field, 1)
+                want[doc] = want.get(doc, 0) + part * (2 if field == "title" else 1)
+            if field == "title" and any(x.startswith("st") for x in t):
+                want[doc] = want.get(doc, 0) + boosts["title"]
+    got = ranked(cl.search_clauses(clauses, index, k=100, boosts=boosts))[1]
+    same(got, sorted(((d, round(s, 6)) for d, s in want.items()), key=lambda x: (-x[1], x[0])))
+
+
+def test_only_near_documents_are_scored(spark, sf_dir):
+    """Pruned search gives the rows of scoring everything, from far fewer sums."""
+    docs = table(spark, sf_dir, "documents")
+    index = ix.index_records(catalogue(docs))
+    queries = benchmark_queries(table(spark, sf_dir, "benchmark"))
+    for boosts in (None, se.BOOSTS):
+        every = se.score_documents(queries, index, boosts=boosts)
+        want = sorted(map(tuple, se.top_k(every).select("query_id", "doc_id", "score", "rank").collect()))
+        assert sorted(map(tuple, se.search(queries, index, boosts=boosts).select("query_id", "doc_id", "score", "rank").collect())) == want
+        near, left_out = se.candidates(queries, index, boosts=boosts)
+        assert not left_out.isEmpty() and near.count() < every.count() / 3
+
+
+def test_queries_too_many_to_broadcast(spark, records, index):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        queries = spark.createDataFrame(list(QUERY_TEXTS.items()), "query_id bigint, text string")
+        queries = spark.createDataFrame(list(QUERY_TEXTS.items()), QUERY_ROWS)
         df = se.search(queries, index)
         assert "BroadcastHashJoin" not in plan(df)
         got = ranked(df)
@@ -312,3 +396,25 @@ def test_queries_too_many_to_broadcast(spark, records, index, monkeypatch):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     for key, text in QUERY_TEXTS.items():
         same(got.get(key, []), brute(records, text))
+
+
+def test_lines_are_parsed_after_the_join(spark, frame, index, tmp_path):
+    write_jsonl(frame.orderBy("doc_id").drop("doc_id"), str(tmp_path / "records"), files=None)
+    lines = numbered_lines(spark, str(tmp_path / "records"))
+    hits = se.search(spark.createDataFrame([(1, "the star")], QUERY_ROWS), index)
+    df = se.hydrate_lines(hits, lines, MERGED_RECORD)
+    tree = df._jdf.queryExecution().optimizedPlan().toString()
+    assert tree.index("from_json") < tree.index("LeftSemi")  # parents come first
+    key = lambda r: (r.query_id, r.rank, r.doc_id, r.title, r.plot)
+    assert sorted(map(key, df.collect())) == sorted(map(key, se.hydrate(hits, frame).collect()))
+
+
+def test_a_new_version_leaves_readers_alone(spark, frame):
+    path = new_path(spark, "index")
+    old = ix.index_records(frame, path=path)
+    new = ix.index_records(frame.filter("doc_id < 10"), path=path)
+    assert old.postings.count() > new.postings.count() and old.terms.count() > new.terms.count()
+    ix.index_records(frame.filter("doc_id < 5"), path=path)
+    assert len(folders(spark, path)) == 2  # the first is gone
+    with pytest.raises(ValueError, match="no index"):
+        ix.read_index(spark, path + "-nowhere")

@@ -77,8 +77,12 @@ def _any(conditions: list[Column]) -> Column:
 def _up_to_last(text: Column, end: str, change: Callable[[Column], Column]) -> Column:
     """Applies a change to the text up to its last ``end``. Behind it no pattern closed by
     ``end`` can match, and trying from every opening would cost the square of its length."""
-    rest = F.substring_index(text, end, -1)
-    return F.concat(change(F.left(text, F.length(text) - F.length(rest))), rest)
+
+    def split(text: Column) -> Column:
+        rest = F.substring_index(text, end, -1)
+        return F.concat(change(F.left(text, F.length(text) - F.length(rest))), rest)
+
+    return let(text, lambda t: F.when(F.contains(t, F.lit(end)), split(t)).otherwise(t))
 
 
 def strip_comments(text: Column) -> Column:
@@ -92,8 +96,25 @@ def strip_templates(text: Column) -> Column:
     return text
 
 
+def _or_skip(pattern: str, opening: str) -> str:
+    """The pattern, or else its opening as one more group: an opening that fails is passed over as
+    far as it reads, since any other opening inside it would fail at the same place."""
+    return f"{pattern}|({opening})"
+
+
 def strip_refs(text: Column) -> Column:
-    return sub(sub(text, REF_TAG, "", "is"), REF_SELF, "", "i")
+    """Pairs first, in the text up to the last closing tag: behind it no pair ends."""
+
+    def pairs(text: Column, head: Column) -> Column:
+        closed = sub(head, _or_skip(REF_TAG, r"<ref[^>]*+"), "$1", "is")
+        return F.concat(closed, F.substr(text, F.length(head) + 1))
+
+    def closed(text: Column) -> Column:
+        head = F.regexp_extract(text, "(?is)^.*</ref>", 0)
+        return let(head, lambda h: F.when(h != "", pairs(text, h)).otherwise(text))
+
+    tagged = let(text, lambda t: F.when(F.contains(t, F.lit("<")), closed(t)).otherwise(t))
+    return _up_to_last(tagged, ">", lambda head: sub(head, REF_SELF, "", "i"))
 
 
 def strip_tags(text: Column) -> Column:
@@ -108,7 +129,7 @@ def replace_literals(text: Column) -> Column:
 
 def unwrap_markup(text: Column) -> Column:
     """Links become their label; bold and italic quotes go."""
-    text = sub(text, WIKI_LINK, "$1")
+    text = sub(text, _or_skip(WIKI_LINK, r"\[\[[^\]]*+"), "$1$2")
     return sub(sub(text, BOLD, "$1"), ITALIC, "$1")
 
 
@@ -276,7 +297,8 @@ def lead_paragraph(wikitext: Column) -> Column:
 
         return let(clean_text(line), check)
 
-    text = strip_refs(sub(F.coalesce(wikitext, F.lit("")), LEAD_INFOBOX, "", "is"))
+    boxless = _or_skip(LEAD_INFOBOX, r"\{\{Infobox[^}]*+")
+    text = strip_refs(sub(F.coalesce(wikitext, F.lit("")), boxless, "$1", "is"))
     lines = F.transform(F.split(F.substring_index(text, "\n==", 1), "\n"), strip)
     candidates = F.filter(lines, lambda x: (F.length(x) >= LEAD_MIN_LENGTH) & ~x.rlike(skip))
     return F.aggregate(

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
 from ..functions.analysis import term_groups, tokenize
-from ..storage import folders, mark, marked, new_path, remove
+from ..storage import listed, mark, marked, new_path, remove
 
 # --- Fixed values: they decide the results and must stay as they are. -----------
 FIELDS = [
@@ -158,7 +158,7 @@ def write_index(fields: DataFrame, path: str, buckets: int | None = None) -> Sea
 
 def _versions(spark: SparkSession, path: str) -> list[str]:
     """Names of the complete versions under a path, oldest first."""
-    return sorted(name for name in folders(spark, path) if marked(spark, f"{path.rstrip('/')}/{name}"))
+    return sorted(name for name in listed(spark, path) if marked(spark, f"{path.rstrip('/')}/{name}"))
 
 
 def read_index(spark: SparkSession, path: str) -> SearchIndex:

@@ -9,7 +9,7 @@ from ..functions import wikitext as wt
 from ..functions.entities import unescape_entities
 from ..functions.regex import capture
 from ..operators import wiki_records as op
-from ..sources.text import read_wiki_pages
+from ..sources.text import find_dump, read_wiki_pages
 from ..storage import new_path
 from .rendered import _text, escaped, table, wiki_pages
 
@@ -34,6 +34,18 @@ def wiki_pages_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_wiki_pages(spark, path).select(
         capture(page, r"<title>(.+?)</title>").alias("title"),
         F.length(wt.page_text(page)).cast("bigint").alias("n_text"),
+        F.md5(wt.page_text(page)).alias("text_md5"),
+    )
+
+
+def wiki_dump_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder with the dump in two forms, of which the packed one is read."""
+    folder = new_path(spark, "dumps")
+    write_dump(_pages(spark, sf_dir), f"{folder}/enwiki.xml.gz", compression="gzip")
+    write_dump(_pages(spark, sf_dir), f"{folder}/plwiki.xml")
+    page = F.col("page")
+    return read_wiki_pages(spark, find_dump(spark, folder)).select(
+        capture(page, r"<title>(.+?)</title>").alias("title"), F.md5(wt.page_text(page)).alias("text_md5")
     )
 
 
@@ -111,13 +123,13 @@ def _boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(key % 6 == 0, "unknown").otherwise(_text("{{start|", 1950 + key % 70, "}}")),
         "\n| released = 20", F.lpad((key % 100).cast("string"), 2, "0"),
         "\n| runtime = ", F.when(key % 7 == 0, "{{Plainlist|").otherwise(_text(key % 60, " min&nbsp;x")),
-        "\n* more\n",
+        "\n| notes = ", escaped(F.col("text")), "\n* more\n",
     )
     return _documents(spark, sf_dir).select("doc_id", box.alias("box"))
 
 
 def infobox_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = ["country", "network", "num_seasons", "num_episodes", "runtime"]
+    names = ["country", "network", "num_seasons", "num_episodes", "runtime", "notes"]
     values = wt.field_values(F.col("box"), names)
     return _boxes(spark, sf_dir).select("doc_id", F.inline(F.array(values)))
 
@@ -149,7 +161,7 @@ def lead_paragraph(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op.gate_pages(_pages(spark, sf_dir)).select("title")
+    return op.gate_pages(_pages(spark, sf_dir)).select("title", F.md5("text").alias("text_md5"))
 
 
 def wiki_record(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,6 +183,7 @@ def extract_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "wiki_pages_split": wiki_pages_split,
+    "wiki_dump_choice": wiki_dump_choice,
     "clean_text": clean_text,
     "clean_templates": clean_templates,
     "strip_tags": strip_tags,
@@ -225,9 +238,7 @@ _RECORD_SQL = f"""
     FROM documents d JOIN ({_LEAD_SQL}) p ON d.doc_id = p.doc_id
     WHERE {_GATE_SQL.replace("doc_id", "d.doc_id")} AND d.doc_id % 23 <> 8 AND d.doc_id % 29 <> 9"""
 
-ORACLES = {
-    "wiki_pages_split": f"""
-        SELECT {_TITLE_SQL} AS title, CAST(length(
+_PAGE_TEXT_SQL = f"""
             CASE WHEN doc_id % 19 = 6 THEN '#REDIRECT [[Doc]]' || chr(10) ELSE '' END
             || CASE WHEN doc_id % 23 = 8 THEN '{{{{Infobox person' || chr(10) || '| name = x'
                 || chr(10) || '}}}}' || chr(10) ELSE '' END
@@ -242,8 +253,15 @@ ORACLES = {
                         THEN chr(10) || '| released = ' || (1950 + doc_id % 70)
                         ELSE '{{{{Start date|' || (1950 + doc_id % 70) || '|1|20}}}}' END,
                     '}}}}', '') END
-            || {_escaped_sql("text")} || chr(10) || '== Cast ==' || chr(10) || 'none') AS BIGINT) AS n_text
+            || {_escaped_sql("text")} || chr(10) || '== Cast ==' || chr(10) || 'none'"""
+_NOTES_SQL = _collapsed_sql(r"regexp_extract(text, '\S[^\n]*')")
+
+ORACLES = {
+    "wiki_pages_split": f"""
+        SELECT {_TITLE_SQL} AS title, CAST(length({_PAGE_TEXT_SQL}) AS BIGINT) AS n_text,
+            md5({_PAGE_TEXT_SQL}) AS text_md5
         FROM documents""",
+    "wiki_dump_choice": f"SELECT {_TITLE_SQL} AS title, md5({_PAGE_TEXT_SQL}) AS text_md5 FROM documents",
     "clean_text": f"""
         SELECT doc_id,
             {_collapsed_sql("'Doc ' || doc_id || ' ' || text || ' label ' || lang || ' it bold –<'")}
@@ -270,13 +288,17 @@ ORACLES = {
             WHEN 1 THEN '| a = {{d|' || source || '}} {b}' || chr(10)
             ELSE '| a = {{x|{{y|' || source || '}}' END AS infobox
         FROM documents WHERE doc_id % 4 <> 3""",
-    "infobox_fields": """
+    "infobox_fields": f"""
         SELECT doc_id, lang || source AS country,
             CASE WHEN doc_id % 3 = 0 THEN NULL ELSE source END AS network,
             CASE WHEN doc_id % 5 = 0 THEN NULL ELSE CAST(doc_id % 9 AS VARCHAR) END AS num_seasons,
             CAST(NULL AS VARCHAR) AS num_episodes,
-            CASE WHEN doc_id % 7 = 0 THEN NULL ELSE (doc_id % 60) || ' min x' END AS runtime
-        FROM documents""",
+            CASE WHEN doc_id % 7 = 0 THEN NULL ELSE (doc_id % 60) || ' min x' END AS runtime,
+            CASE WHEN lower(notes) NOT IN ('', 'yes', 'no', 'n/a', 'various', 'tba', 'tbd', 'none', 'present')
+                AND NOT (contains(lower(notes), 'ref') AND length(notes) < 50)
+                AND NOT starts_with(notes, '|') AND NOT (contains(notes[1:20], '|') AND contains(notes[1:20], '='))
+                THEN notes END AS notes
+        FROM (SELECT *, {_NOTES_SQL} AS notes FROM documents)""",
     "infobox_year": """
         SELECT doc_id, CASE WHEN doc_id % 6 = 0 THEN '20' || lpad(CAST(doc_id % 100 AS VARCHAR), 2, '0')
             ELSE CAST(1950 + doc_id % 70 AS VARCHAR) END AS year
@@ -286,7 +308,7 @@ ORACLES = {
             AND doc_id % 17 <> 4 AS is_series
         FROM documents""",
     "lead_paragraph": _LEAD_SQL,
-    "page_gate": f"SELECT {_TITLE_SQL} AS title FROM documents WHERE {_GATE_SQL}",
+    "page_gate": f"SELECT {_TITLE_SQL} AS title, md5({_PAGE_TEXT_SQL}) AS text_md5 FROM documents WHERE {_GATE_SQL}",
     "wiki_record": _RECORD_SQL,
     "record_completeness": f"""
         SELECT title, TRUE AS has_year, TRUE AS has_country, num_seasons IS NOT NULL AS has_num_seasons,

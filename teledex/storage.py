@@ -86,10 +86,10 @@ def _file_system(spark: SparkSession, folder: str):
     return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def folders(spark: SparkSession, path: str) -> list[str]:
-    """Names of the folders in a folder; none if it is missing."""
+def listed(spark: SparkSession, path: str) -> list[str]:
+    """Names of what is in a folder; none if it is missing."""
     where, system = _file_system(spark, path)
-    return [x.getPath().getName() for x in system.listStatus(where) if x.isDirectory()] if system.exists(where) else []
+    return [x.getPath().getName() for x in system.listStatus(where)] if system.exists(where) else []
 
 
 def mark(spark: SparkSession, folder: str) -> None:

@@ -3,6 +3,8 @@ an independent implementation."""
 
 import html
 import random
+import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +13,7 @@ from teledex.functions import analysis, keys
 from teledex.functions import wikitext as wt
 from teledex.functions.entities import unescape_entities
 from teledex.functions.html import field_columns
-from teledex.functions.regex import first_match, first_match_or_empty, java_pattern, strip
+from teledex.functions.regex import first_match, first_match_or_empty, java_pattern, strip, sub
 
 
 def values(spark, expression, texts):
@@ -80,6 +82,34 @@ INFOBOXES = [
 ]
 
 
+def test_refs_and_links_equal_the_plain_patterns(spark):
+    """Against Python's engine with one pattern after the other, on markup that breaks off."""
+    rng = random.Random(8)
+    quotes = ["'" * 3, "'" * 2]
+    parts = ["<ref>", "</ref>", "<REF name=a>", "<ref ", "/>", ">", "</Ref>", "[[", "]]", "[", "]", "|", "a", "b c", "\n", "<ref/>", "é", *quotes]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 14))) for _ in range(1500)]
+    boxes = ["".join(rng.choices(["{{Infobox", "{{infobox x", "}", "}}", "{", "a", "\n"], k=8)) for _ in range(300)]
+    df = spark.createDataFrame([(t,) for t in texts + boxes], "t string")
+    boxless = sub(F.col("t"), wt._or_skip(wt.LEAD_INFOBOX, r"\{\{Infobox[^}]*+"), "$1", "is")
+    rows = df.select("t", wt.strip_refs(F.col("t")).alias("refs"), wt.unwrap_markup(F.col("t")).alias("plain"), boxless.alias("box"))
+    for t, refs, plain, box in rows.collect():
+        want = re.sub(wt.REF_TAG, "", t, flags=re.I | re.S)
+        assert refs == re.sub(wt.REF_SELF, "", want, flags=re.I), t
+        want = re.sub(wt.WIKI_LINK, r"\1", t)
+        assert plain == re.sub(wt.ITALIC, r"\1", re.sub(wt.BOLD, r"\1", want)), t
+        assert box == re.sub(wt.LEAD_INFOBOX, "", t, flags=re.I | re.S), t
+
+
+@pytest.mark.parametrize("part", ["<ref>", "<ref ", "<ref </ref", "[[a ", "[[a|", "[[", "<!--", "<", "{{", "{{Infobox "])
+def test_cleaning_is_linear_in_markup_that_breaks_off(spark, part):
+    size = F.length(wt.clean_text(F.col("t")))
+    spark.createDataFrame([(part,)], "t string").select(size).collect()  # plan and compile once
+    df = spark.createDataFrame([(part * (1_000_000 // len(part)),)], "t string")
+    began = time.perf_counter()
+    df.select(size).collect()
+    assert time.perf_counter() - began < 4  # about half a second alone; the square would take hours
+
+
 def test_infobox_body(spark):
     texts = [c[0] for c in INFOBOXES]
     assert values(spark, wt.infobox_body, texts) == [c[1] for c in INFOBOXES]

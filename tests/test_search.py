@@ -15,7 +15,7 @@ from teledex.operators.wiki_records import extract_wiki_records
 from teledex.plans.rendered import benchmark_queries, catalogue, html_pages, table, wiki_pages
 from teledex.schemas import MERGED_RECORD
 from teledex.sources.jsonl import numbered_lines, write_jsonl
-from teledex.storage import folders, new_path
+from teledex.storage import listed, new_path
 
 WORDS = "the a star ship captain lost found night day show drama war love écran".split()
 
@@ -415,6 +415,6 @@ def test_a_new_version_leaves_readers_alone(spark, frame):
     new = ix.index_records(frame.filter("doc_id < 10"), path=path)
     assert old.postings.count() > new.postings.count() and old.terms.count() > new.terms.count()
     ix.index_records(frame.filter("doc_id < 5"), path=path)
-    assert len(folders(spark, path)) == 2  # the first is gone
+    assert len(listed(spark, path)) == 2  # the first is gone
     with pytest.raises(ValueError, match="no index"):
         ix.read_index(spark, path + "-nowhere")

@@ -11,7 +11,7 @@ from teledex.operators.html_records import extract_html_records
 from teledex.plans.rendered import html_pages, table, wiki_pages
 from teledex.schemas import HTML_RECORD, WIKI_RECORD
 from teledex.sources.jsonl import read_jsonl, read_numbered_jsonl, write_jsonl
-from teledex.sources.text import DUMP_GLOB, read_html_files, read_wiki_pages
+from teledex.sources.text import DUMP_NAMES, find_dump, read_html_files, read_wiki_pages
 from teledex.storage import materialize, new_path, shared_folder
 from teledex.streaming.ingest import ingest, stream_html_files
 
@@ -46,9 +46,28 @@ def test_pages_survive_input_splits(spark, dump, name, split):
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
-def test_dump_files_found_by_name(spark, dump):
+def test_one_dump_is_chosen(spark, dump, tmp_path):
+    folder, pages = dump  # the dump in three forms: each page comes once
+    assert find_dump(spark, str(folder)).endswith("/my-Wiki.xml")
+    assert sorted(r.page for r in read_wiki_pages(spark, find_dump(spark, str(folder))).collect()) == pages
+    for name in ("a-wiki.gz", DUMP_NAMES[1], DUMP_NAMES[0]):  # each goes before those before it
+        (tmp_path / name).write_text("")
+        assert find_dump(spark, str(tmp_path)) == str(tmp_path / name)
+    (tmp_path / "empty").mkdir()
+    (tmp_path / "empty" / "wiki.txt").write_text("")
+    with pytest.raises(FileNotFoundError):
+        find_dump(spark, str(tmp_path / "empty"))
+
+
+def test_packed_pages_are_dealt_to_all_tasks(spark, dump):
     folder, pages = dump
-    assert read_wiki_pages(spark, str(folder), DUMP_GLOB).count() == 3 * len(pages)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    try:
+        read = read_wiki_pages(spark, str(folder / "wiki.xml.gz"))
+        parsed = read.select(F.spark_partition_id().alias("task"), F.length("page").alias("n"))
+        assert parsed.select("task").distinct().count() > 4 and parsed.count() == len(pages)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
 def test_page_shapes(spark, tmp_path):

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,20 +56,34 @@ def row_key(id_col: Column, text: Column) -> Column:
 
 #: Bits of a bitmap: 16 a value within these bounds.
 BITMAP_BITS = (1 << 20, 1 << 29)
+#: Bits that a task packs into one value.
+BLOCK_BITS = 1 << 16
 
 
 def bitmap(values: DataFrame, column: str) -> np.ndarray:
     """A filter with a bit for each value of a written table's bigint column (one of the
     hashed low bits). Its size is bounded; a fuller one finds values that aren't there
-    more often, and misses none."""
+    more often, and misses none. Tasks pack blocks of bits, so the driver only lays blocks
+    of some kilobytes side by side."""
     wanted = 1 << max(1, 16 * values.count()).bit_length()
     bits = min(max(wanted, BITMAP_BITS[0]), BITMAP_BITS[1])
-    place = f"(`{column}` & {bits - 1}L)"
-    bit = F.expr(f"bit_or(shiftleft(1L, CAST({place} & 31 AS INT)))").alias("bits")
-    words = values.groupBy(F.expr(f"shiftright({place}, 5)").alias("word")).agg(bit)
+    place = F.col(column).bitwiseAND(F.lit(bits - 1))
+    in_block = F.collect_set(place.bitwiseAND(F.lit(BLOCK_BITS - 1)).cast("int")).alias("places")
+    blocks = values.groupBy(F.shiftright(place, BLOCK_BITS.bit_length() - 1).alias("block")).agg(in_block)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed = []
+            for places in batch["places"]:
+                own = np.zeros(BLOCK_BITS, np.uint8)
+                own[places.values.to_numpy()] = 1
+                packed.append(np.packbits(own, bitorder="little").tobytes())
+            yield pa.RecordBatch.from_arrays([batch["block"], pa.array(packed, pa.binary())], ["block", "bits"])
+
     out = np.zeros(bits // 32, np.uint32)
-    for part in words.toLocalIterator():
-        out[part["word"]] = part["bits"] & 0xFFFFFFFF
+    size = BLOCK_BITS // 32
+    for row in blocks.mapInArrow(pack, "block bigint, bits binary").toLocalIterator():
+        out[row.block * size : (row.block + 1) * size] = np.frombuffer(row.bits, np.uint32)
     return out
 
 
@@ -76,6 +92,26 @@ def in_bitmap(values: np.ndarray, known: np.ndarray) -> np.ndarray:
     return (known[place >> 5] >> (place & 31).astype(np.uint32)) & 1 == 1
 
 
+def rows_in_bitmap(table: DataFrame, value: Column, known: np.ndarray) -> DataFrame:
+    """Rows whose bigint value may be among those of a bitmap; nothing is moved."""
+    shared = table.sparkSession.sparkContext.broadcast(known)
+    name, = spare(table, "tested")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(in_bitmap(batch[name].to_numpy(), shared.value)))
+
+    tested = table.withColumn(name, value)
+    return tested.mapInArrow(run, tested.schema).drop(name)
+
+
+def let_go(spark: SparkSession) -> None:
+    """Has the driver collect its garbage: the shuffle files of a job stay on the executors'
+    disks until its plan is found unreachable, which a driver with little to do finds late."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def in_order(table: DataFrame, keys: list[str], name: str, weight: str | None = None) -> DataFrame:
     """``table`` (cheap to read: it is read twice) with its rows' places in the order of
     ``keys``: ``position`` from 0 and, with ``weight``, ``before``: the weight of all

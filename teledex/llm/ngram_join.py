@@ -24,12 +24,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..storage import discard, materialize
-from .common import bitmap, in_bitmap, spare
+from .common import bitmap, in_bitmap, let_go, row_key, rows_in_bitmap, spare
 from .components import components
 
 #: Shingles of at least so many documents count as frequent.
@@ -37,6 +38,8 @@ FREQUENT = 20
 #: Members that all of a group are compared with first.
 CENTRES = 4
 COUNTED_AT_ONCE = 4_000_000
+#: Classes a task remembers, so that it gives each of them once.
+REMEMBERED = 200_000
 #: Members of groups up to this size are paired directly once the centres are compared:
 #: so many pairs a member at most. Larger groups are joined by what sets members off.
 SMALL_GROUP = 16
@@ -104,8 +107,8 @@ def _may_link(a: np.ndarray, b: np.ndarray, allowed: int) -> bool:
 
 
 def _shingled(docs: DataFrame, words: int) -> DataFrame:
-    """A row per document (doc_id, n, class_hash), and rows with n = -1 that hold shingles
-    found in several documents of a task (or of each so many of its shingles)."""
+    """A row per document (doc_id, key, n, class_hash), and rows with n = -1 that hold
+    shingles found in several documents of a task (or of each so many of its shingles)."""
 
     def several(held: list[np.ndarray], like: pd.Series) -> Iterator[pd.DataFrame]:
         tokens, counts = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.uint64), np.zeros(0, int))
@@ -113,7 +116,7 @@ def _shingled(docs: DataFrame, words: int) -> DataFrame:
         held.clear()
         if len(tokens):
             none = pd.Series([None], dtype="object" if like.dtype == object else "Int64")
-            yield pd.DataFrame({"doc_id": none, "n": [-1], "class_hash": [b""], "tokens": [tokens], "counts": [counts]})
+            yield pd.DataFrame({"doc_id": none, "key": [None], "n": [-1], "class_hash": [b""], "tokens": [tokens], "counts": [counts]})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[np.ndarray] = []
@@ -123,7 +126,7 @@ def _shingled(docs: DataFrame, words: int) -> DataFrame:
             like = batch["doc_id"]
             sets = [shingles(x, words) for x in batch["text"]]
             hashes = [xxhash.xxh3_128_digest(x.tobytes()) for x in sets]
-            yield pd.DataFrame({"doc_id": like, "n": [len(x) for x in sets], "class_hash": hashes, "tokens": None, "counts": None})
+            yield pd.DataFrame({"doc_id": like, "key": batch["key"], "n": [len(x) for x in sets], "class_hash": hashes, "tokens": None, "counts": None})
             for name, own in zip(hashes, sets):
                 if name not in seen:
                     seen.add(name)
@@ -136,7 +139,7 @@ def _shingled(docs: DataFrame, words: int) -> DataFrame:
         yield from several(held, like)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInPandas(run, f"doc_id {kind}, n bigint, class_hash binary, tokens array<bigint>, counts array<bigint>")
+    return docs.mapInPandas(run, f"doc_id {kind}, key binary, n bigint, class_hash binary, tokens array<bigint>, counts array<bigint>")
 
 
 def _frequent(shingled: DataFrame) -> np.ndarray:
@@ -151,15 +154,18 @@ def _frequent(shingled: DataFrame) -> np.ndarray:
 
 
 def _classes(docs: DataFrame, words: int, percent: int, frequent: np.ndarray) -> DataFrame:
-    """A row per class: class_hash, doc_id (of one member), n, prefix under the first
-    order, and narrow prefixes under the second and third."""
+    """A row per class and task, written: c (a number), class_hash, text_hash (of one member),
+    n, prefix under the first order, and narrow prefixes under the second and third."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = shared.value
+        seen: set[bytes] = set()
         for batch in batches:
-            rows, seen = [], set()
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
+            rows = []
+            if len(seen) > REMEMBERED:
+                seen.clear()
+            for text_hash, text in zip(batch["text_hash"], batch["text"]):
                 tokens = shingles(text, words)
                 name = xxhash.xxh3_128_digest(tokens.tobytes())
                 if not len(tokens) or name in seen:
@@ -169,21 +175,59 @@ def _classes(docs: DataFrame, words: int, percent: int, frequent: np.ndarray) ->
                 late = in_bitmap(tokens.view(np.int64), known)
                 first = np.concatenate([tokens[~late], tokens[late]])
                 orders = [_narrow(_mixed(tokens, salt), keep).tobytes() for salt in (50, 54)]
-                rows.append((name, doc_id, len(tokens), first[:keep].view(np.int64), *orders))
-            yield pd.DataFrame(rows, columns=["class_hash", "doc_id", "n", "prefix", "second", "third"])
+                rows.append((name, text_hash, len(tokens), first[:keep].view(np.int64), *orders))
+            yield pd.DataFrame(rows, columns=["class_hash", "text_hash", "n", "prefix", "second", "third"])
+
+    schema = "class_hash binary, text_hash bigint, n bigint, prefix array<bigint>, second binary, third binary"
+    found = docs.select("text", F.xxhash64("text").alias("text_hash")).mapInPandas(run, schema)
+    return materialize(found.withColumn("c", F.monotonically_increasing_id()), "classes")
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"class_hash binary, doc_id {kind}, n bigint, prefix array<bigint>, second binary, third binary"
-    one = docs.mapInPandas(run, schema).dropDuplicates(["class_hash"])
-    return materialize(one.withColumn("c", F.monotonically_increasing_id()), "classes")
+
+def _firsts(classes: DataFrame) -> DataFrame:
+    """(c, first): the first number of each row's class, written."""
+    first = F.min("c").alias("first")
+    firsts = classes.groupBy("class_hash").agg(first)
+    return materialize(classes.select("c", "class_hash").join(firsts, "class_hash").select("c", "first"), "first-numbers")
+
+
+def _shared(classes: DataFrame, firsts: DataFrame) -> DataFrame:
+    """(token, c, n, breadth): prefix shingles that several classes hold, written; c is the
+    first number of a class, breadth how many such shingles its prefix has.
+
+    Most shingles have one holder. They are told apart by two numbers a shingle, and leave
+    before anything else is moved.
+    """
+    holders = classes.select(F.explode("prefix").alias("token"), "c").groupBy("token")
+    common = holders.agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high").select("token")
+    common = materialize(common, "common-shingles")
+    shared = classes.sparkSession.sparkContext.broadcast(bitmap(common, "token"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = batch["prefix"].value_lengths().to_numpy().astype(np.int64)
+            tokens = batch["prefix"].flatten().to_numpy()
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            kept = in_bitmap(tokens, shared.value)
+            tokens, row = tokens[kept], row[kept]
+            breadth = np.bincount(row, minlength=len(sizes))
+            columns = [tokens, batch["c"].to_numpy()[row], batch["n"].to_numpy()[row], breadth[row]]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["token", "c", "n", "breadth"])
+
+    entries = classes.select("c", "n", "prefix").mapInArrow(run, "token bigint, c bigint, n bigint, breadth bigint")
+    found = entries.join(common, "token").join(firsts, "c").select("token", F.col("first").alias("c"), "n", "breadth")
+    found = materialize(found, "shared-shingles")
+    discard(common)
+    return found
 
 
 def _filtered(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs that may link by size, and by the second and the third order's prefixes. The
-    narrow test comes first, so few pairs get the prefixes attached."""
+    narrow test comes first, so few pairs get the prefixes attached, and only the prefixes
+    of classes in such pairs are moved."""
+    few = classes.select("c", "n")
 
     def side(s: str, *columns: str) -> DataFrame:
-        return classes.select(F.col("c").alias(s), *[F.col(x).alias(f"{x}_{s}") for x in columns])
+        return few.select(F.col("c").alias(s), *[F.col(x).alias(f"{x}_{s}") for x in columns])
 
     def agree(order: str):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -200,23 +244,40 @@ def _filtered(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     sized = pairs.join(side("a", "n"), "a").join(side("b", "n"), "b")
     left = materialize(sized.filter(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"), "sized-pairs")
     for order in ("second", "third"):
+        few = materialize(_some(classes.select("c", order), left), f"{order}-prefixes")
         both = left.join(side("a", order), "a").join(side("b", order), "b")
-        left = materialize(both.mapInPandas(agree(order), "a bigint, b bigint, n_a bigint, n_b bigint"), f"pairs-{order}")
+        passed = materialize(both.mapInPandas(agree(order), "a bigint, b bigint, n_a bigint, n_b bigint"), f"pairs-{order}")
+        discard(few, left)
+        left = passed
     return left.select("a", "b")
 
 
+def _ids(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct()
+
+
+def _some(table: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Rows of a table of classes that (nearly) all occur in the pairs, without moving any."""
+    hashed = materialize(_ids(pairs).select(F.xxhash64("c").alias("hash")), "pair-ids")
+    known = bitmap(hashed, "hash")
+    discard(hashed)
+    return rows_in_bitmap(table, F.xxhash64("c"), known)
+
+
 def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(c, tokens) of the wanted classes (c, class_hash, doc_id), from their texts."""
+    """(c, tokens) of the wanted classes (c, class_hash, text_hash; written), from their
+    texts. Other texts are passed over where they lie."""
+    names = wanted.select("c", "class_hash")
+    texts = rows_in_bitmap(docs.select("text", F.xxhash64("text").alias("text_hash")), F.col("text_hash"), bitmap(wanted, "text_hash"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             sets = [shingles(x, words).tobytes() for x in batch["text"]]
-            own = np.array([xxhash.xxh3_128_digest(x) == bytes(h) for x, h in zip(sets, batch["class_hash"])], bool)
-            yield pd.DataFrame({"c": batch["c"], "tokens": sets})[own]
+            yield pd.DataFrame({"class_hash": [xxhash.xxh3_128_digest(x) for x in sets], "tokens": sets})
 
-    named = wanted.select("c", "class_hash", F.col("doc_id").alias("member"))
-    texts = docs.join(named, F.col("doc_id").eqNullSafe(F.col("member"))).select("c", "class_hash", "text")
-    return materialize(texts.mapInPandas(run, "c bigint, tokens binary").dropDuplicates(["c"]), "sets")
+    # Copies of a wanted text give their set again; they are dropped where sets meet names.
+    found = texts.select("text").mapInPandas(run, "class_hash binary, tokens binary").dropDuplicates(["class_hash"])
+    return materialize(found.join(names, "class_hash").select("c", "tokens"), "sets")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -239,26 +300,26 @@ def _ordered(a: str, b: str) -> list:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def _links(docs: DataFrame, classes: DataFrame, words: int, percent: int, frequent: np.ndarray) -> DataFrame:
+def _links(docs: DataFrame, classes: DataFrame, firsts: DataFrame, words: int, percent: int, frequent: np.ndarray) -> DataFrame:
     """Links between classes, written: enough to join all that belong together. Other
     tables on the way are removed."""
-    entries = classes.select(F.explode("prefix").alias("token"), "c", "n")
-    groups = entries.groupBy("token").agg(F.count("*").alias("size")).filter("size > 1")
-    shared = materialize(entries.join(groups.select("token"), "token"), "shared-shingles")
+    spark = docs.sparkSession
+    shared = _shared(classes, firsts)
+    let_go(spark)
     # First every member of a group with those that share most of their prefix, which are
     # the least changed of near copies.
-    breadth = shared.groupBy("c").agg(F.count("*").alias("breadth"))
     central = [F.max_by("c", F.struct("breadth", F.xxhash64("c", F.lit(i)))).alias(f"m{i}") for i in range(CENTRES)]
-    ends = materialize(shared.join(breadth, "c").groupBy("token").agg(*central), "centres")
+    ends = materialize(shared.groupBy("token").agg(*central), "centres")
     paired = shared.select("token", "c").join(ends, "token")
     tested = paired.select("c", F.explode(F.array_distinct(F.array(*[f"m{i}" for i in range(CENTRES)]))).alias("end")).filter("c <> end").select(*_ordered("c", "end")).distinct()
     tested = materialize(tested, "first-pairs")
     passed = _filtered(tested, classes, percent)
-    named = classes.select("c", "class_hash", "doc_id")
-    ids = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct()
-    wanted = materialize(named.join(ids(passed), "c", "left_semi"), "wanted")
+    let_go(spark)
+    named = classes.select("c", "class_hash", "text_hash")
+    wanted = materialize(named.join(_ids(passed), "c", "left_semi"), "wanted")
     sets = _sets(docs, wanted, words)
     links = _verified(passed, sets, percent)
+    let_go(spark)
     # Then members of different components, by what sets each off from its centre.
     roots = components(links)
     rooted = shared.join(roots.select(F.col("node").alias("c"), "root"), "c", "left")
@@ -275,6 +336,7 @@ def _links(docs: DataFrame, classes: DataFrame, words: int, percent: int, freque
     grouped = named.join(clans.select(F.explode(F.array("centre", "c")).alias("c")).distinct(), "c", "left_semi")
     grouped = materialize(grouped.join(wanted, "c", "left_anti"), "wanted")
     further = _sets(docs, grouped, words)
+    let_go(spark)
     known = sets.unionByName(further)
     edits = materialize(_edits(clans, known, percent, frequent), "edits")
     left = edits.filter("short").select("key", *[F.col(x).alias(f"{x}1") for x in ("c", "root", "n", "differs", "place")])
@@ -285,7 +347,8 @@ def _links(docs: DataFrame, classes: DataFrame, words: int, percent: int, freque
     apart = left.join(right, "key").filter(near).select(*_ordered("c1", "c2"))
     cross = direct.unionByName(apart).distinct().join(tested, ["a", "b"], "left_anti")
     cross = _filtered(cross, classes, percent)
-    rest = named.join(ids(cross), "c", "left_semi").join(wanted, "c", "left_anti").join(grouped, "c", "left_anti")
+    let_go(spark)
+    rest = named.join(_ids(cross), "c", "left_semi").join(wanted, "c", "left_anti").join(grouped, "c", "left_anti")
     rest = materialize(rest, "wanted")
     last = _sets(docs, rest, words)
     found = materialize(links.unionByName(_verified(cross, known.unionByName(last), percent)), "all-links")
@@ -333,27 +396,41 @@ def near_groups(docs: DataFrame, words: int = 4, percent: int = 85, id_col: str
     with each other. A null id never names a component that holds another id. An empty
     table gives an empty result; other columns are ignored.
     """
-    texts = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    rooted = _rooted(docs, words, percent, id_col, text_col)
+    least = rooted.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("least"))
+    out = rooted.join(least, "root", "left")
+    return out.select("doc_id", "n_shingles", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
+
+
+def _rooted(docs: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, key, n_shingles, root) per document, written: key names the row by id and
+    text, root its component (null without shingles)."""
+    id_, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
+    texts = docs.select(id_.alias("doc_id"), text.alias("text"), row_key(id_, text).alias("key"))
     shingled = materialize(_shingled(texts, words), "shingled")
-    members = shingled.filter("n >= 0").select("doc_id", F.col("n").alias("n_shingles"), "class_hash")
+    members = shingled.filter("n >= 0").select("doc_id", "key", F.col("n").alias("n_shingles"), "class_hash")
     frequent = _frequent(shingled)
     classes = _classes(texts, words, percent, frequent)
-    roots = components(_links(texts, classes, words, percent, frequent))
-    named = classes.select("c", "class_hash").join(roots.withColumnRenamed("node", "c"), "c", "left")
+    firsts = _firsts(classes)
+    links = _links(texts, classes, firsts, words, percent, frequent)
+    roots = components(links)
+    let_go(docs.sparkSession)
+    named = classes.select("c", "class_hash").join(firsts, "c").filter("c = first")
+    named = named.join(roots.withColumnRenamed("node", "c"), "c", "left")
     named = named.select("class_hash", F.coalesce("root", "c").alias("root"))
-    rooted = materialize(members.join(named, "class_hash", "left"), "rooted")
-    least = rooted.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("least"))
-    discard(shingled, classes)
-    out = rooted.join(least, "root", "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
+    rooted = materialize(members.join(named, "class_hash", "left").drop("class_hash"), "rooted")
+    discard(shingled, classes, firsts, links)
+    return rooted
 
 
 def near_dedup(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay: of each group of near duplicates the row with the
-    smallest id. Rows that repeat an id are one document and stay or go together; rows
-    without id or shingles stay."""
-    gone, = spare(docs, "gone")
-    judged = near_groups(docs, words, percent, id_col, text_col)
-    dropped = judged.filter("doc_id <> component_id").select(F.col("doc_id").alias(gone)).distinct()
-    stay = docs.join(materialize(dropped, "near-copies"), F.col(f"`{id_col}`") == F.col(gone), "left_anti")
-    return stay
+    smallest id (null ids last). Rows are told apart by id and text: only rows that repeat
+    both stay or go together. Rows without shingles stay."""
+    key, = spare(docs, "key")
+    judged = _rooted(docs, words, percent, id_col, text_col).filter("root IS NOT NULL")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "key")
+    best = judged.groupBy("root").agg(F.min_by("key", order).alias("best"))
+    gone = judged.join(best, "root").filter("key <> best").select(F.col("key").alias(key)).distinct()
+    marked = docs.withColumn(key, row_key(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")))
+    return marked.join(materialize(gone, "near-copies"), key, "left_anti").drop(key)

@@ -30,12 +30,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..storage import discard, materialize
-from .common import bitmap, in_bitmap, let_go, row_key, rows_in_bitmap, spare
+from .common import bitmap, content_hash, in_bitmap, let_go, row_key, rows_in_bitmap, spare
 from .components import components
 
 #: Shingles of at least so many documents count as frequent.
 FREQUENT = 20
-#: Members that all of a group are compared with first.
+#: Members that all of a group are compared with first: four at most.
 CENTRES = 4
 COUNTED_AT_ONCE = 4_000_000
 #: Classes a task remembers, so that it gives each of them once.
@@ -154,8 +154,8 @@ def _frequent(shingled: DataFrame) -> np.ndarray:
 
 
 def _classes(docs: DataFrame, words: int, percent: int, frequent: np.ndarray) -> DataFrame:
-    """A row per class and task, written: c (a number), class_hash, text_hash (of one member),
-    n, prefix under the first order, and narrow prefixes under the second and third."""
+    """A row per class and task, written: c (a number), class_hash, text_key (of one
+    member's text), n, prefix under the first order, and narrow prefixes under the second and third."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -165,7 +165,7 @@ def _classes(docs: DataFrame, words: int, percent: int, frequent: np.ndarray) ->
             rows = []
             if len(seen) > REMEMBERED:
                 seen.clear()
-            for text_hash, text in zip(batch["text_hash"], batch["text"]):
+            for text_key, text in zip(batch["text_key"], batch["text"]):
                 tokens = shingles(text, words)
                 name = xxhash.xxh3_128_digest(tokens.tobytes())
                 if not len(tokens) or name in seen:
@@ -175,11 +175,11 @@ def _classes(docs: DataFrame, words: int, percent: int, frequent: np.ndarray) ->
                 late = in_bitmap(tokens.view(np.int64), known)
                 first = np.concatenate([tokens[~late], tokens[late]])
                 orders = [_narrow(_mixed(tokens, salt), keep).tobytes() for salt in (50, 54)]
-                rows.append((name, text_hash, len(tokens), first[:keep].view(np.int64), *orders))
-            yield pd.DataFrame(rows, columns=["class_hash", "text_hash", "n", "prefix", "second", "third"])
+                rows.append((name, text_key, len(tokens), first[:keep].view(np.int64), *orders))
+            yield pd.DataFrame(rows, columns=["class_hash", "text_key", "n", "prefix", "second", "third"])
 
-    schema = "class_hash binary, text_hash bigint, n bigint, prefix array<bigint>, second binary, third binary"
-    found = docs.select("text", F.xxhash64("text").alias("text_hash")).mapInPandas(run, schema)
+    schema = "class_hash binary, text_key binary, n bigint, prefix array<bigint>, second binary, third binary"
+    found = docs.select("text", content_hash(F.col("text")).alias("text_key")).mapInPandas(run, schema)
     return materialize(found.withColumn("c", F.monotonically_increasing_id()), "classes")
 
 
@@ -264,36 +264,37 @@ def _some(table: DataFrame, pairs: DataFrame) -> DataFrame:
     return rows_in_bitmap(table, F.xxhash64("c"), known)
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(c, tokens) of the wanted classes (c, class_hash, text_hash; written), from their
-    texts. Other texts are passed over where they lie."""
-    names = wanted.select("c", "class_hash")
-    texts = rows_in_bitmap(docs.select("text", F.xxhash64("text").alias("text_hash")), F.col("text_hash"), bitmap(wanted, "text_hash"))
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(c, text) of the wanted classes (c, text_key), written. A text is smaller than its set
+    of shingles, so texts travel and sets are made where they meet. Texts of other classes
+    are passed over where they lie; copies are dropped where texts meet their names."""
+    hashed = materialize(wanted.select("c", "text_key", F.xxhash64("text_key").alias("hash")), "text-keys")
+    keyed = docs.select("text").withColumn("text_key", content_hash(F.col("text")))
+    found = rows_in_bitmap(keyed, F.xxhash64("text_key"), bitmap(hashed, "hash"))
+    found = found.dropDuplicates(["text_key"]).join(hashed.select("c", "text_key"), "text_key")
+    found = materialize(found.select("c", "text"), "texts")
+    discard(hashed)
+    return found
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            sets = [shingles(x, words).tobytes() for x in batch["text"]]
-            yield pd.DataFrame({"class_hash": [xxhash.xxh3_128_digest(x) for x in sets], "tokens": sets})
 
-    # Copies of a wanted text give their set again; they are dropped where sets meet names.
-    found = texts.select("text").mapInPandas(run, "class_hash binary, tokens binary").dropDuplicates(["class_hash"])
-    return materialize(found.join(names, "class_hash").select("c", "tokens"), "sets")
+def _side(texts: DataFrame, s: str) -> DataFrame:
+    return texts.select(F.col("c").alias(s), F.col("text").alias(f"text_{s}"))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """Pairs whose whole sets are similar enough."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             keep = []
-            for x, y in zip(batch["tokens_a"], batch["tokens_b"]):
-                a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for x, y in zip(batch["text_a"], batch["text_b"]):
+                a, b = shingles(x, words), shingles(y, words)
                 both = int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
                 keep.append(100 * both >= percent * (len(a) + len(b) - both))
             yield batch.loc[np.array(keep, bool), ["a", "b"]]
 
-    side = lambda s: sets.select(F.col("c").alias(s), F.col("tokens").alias(f"tokens_{s}"))
-    return materialize(pairs.join(side("a"), "a").join(side("b"), "b").mapInPandas(run, "a bigint, b bigint"), "links")
+    both = pairs.join(_side(texts, "a"), "a").join(_side(texts, "b"), "b")
+    return materialize(both.mapInPandas(run, "a bigint, b bigint"), "links")
 
 
 def _ordered(a: str, b: str) -> list:
@@ -307,18 +308,19 @@ def _links(docs: DataFrame, classes: DataFrame, firsts: DataFrame, words: int, p
     shared = _shared(classes, firsts)
     let_go(spark)
     # First every member of a group with those that share most of their prefix, which are
-    # the least changed of near copies.
-    central = [F.max_by("c", F.struct("breadth", F.xxhash64("c", F.lit(i)))).alias(f"m{i}") for i in range(CENTRES)]
+    # the least changed of near copies, and with two more.
+    central = [F.max_by("c", F.struct("breadth", "c")), F.max_by("c", F.struct("breadth", -F.col("c"))), F.min("c"), F.max("c")]
+    central = [x.alias(f"m{i}") for i, x in enumerate(central[:CENTRES])]
     ends = materialize(shared.groupBy("token").agg(*central), "centres")
     paired = shared.select("token", "c").join(ends, "token")
     tested = paired.select("c", F.explode(F.array_distinct(F.array(*[f"m{i}" for i in range(CENTRES)]))).alias("end")).filter("c <> end").select(*_ordered("c", "end")).distinct()
     tested = materialize(tested, "first-pairs")
     passed = _filtered(tested, classes, percent)
     let_go(spark)
-    named = classes.select("c", "class_hash", "text_hash")
-    wanted = materialize(named.join(_ids(passed), "c", "left_semi"), "wanted")
-    sets = _sets(docs, wanted, words)
-    links = _verified(passed, sets, percent)
+    named = classes.select("c", "text_key")
+    texts = _texts(docs, named.join(_ids(passed), "c", "left_semi"))
+    links = _verified(passed, texts, words, percent)
+    discard(texts)
     let_go(spark)
     # Then members of different components, by what sets each off from its centre.
     roots = components(links)
@@ -333,12 +335,11 @@ def _links(docs: DataFrame, classes: DataFrame, firsts: DataFrame, words: int, p
     direct = sides[0].join(sides[1], "token").filter(near).select(*_ordered("c1", "c2"))
     large = open_.filter((F.col("size") > SMALL_GROUP) & (F.col("c") != F.col("centre")))
     clans = materialize(large.select("centre", "c", "root").distinct(), "clans")
-    grouped = named.join(clans.select(F.explode(F.array("centre", "c")).alias("c")).distinct(), "c", "left_semi")
-    grouped = materialize(grouped.join(wanted, "c", "left_anti"), "wanted")
-    further = _sets(docs, grouped, words)
+    members = clans.select(F.explode(F.array("centre", "c")).alias("c")).distinct()
+    texts = _texts(docs, named.join(members, "c", "left_semi"))
+    edits = materialize(_edits(clans, texts, words, percent, frequent), "edits")
+    discard(texts)
     let_go(spark)
-    known = sets.unionByName(further)
-    edits = materialize(_edits(clans, known, percent, frequent), "edits")
     left = edits.filter("short").select("key", *[F.col(x).alias(f"{x}1") for x in ("c", "root", "n", "differs", "place")])
     right = edits.drop("short").toDF("key", *[f"{x}2" for x in ("c", "root", "n", "differs", "place")])
     room = f"(differs1 + differs2 - {100 - percent} * (n1 + n2) DIV {100 + percent})"
@@ -348,15 +349,13 @@ def _links(docs: DataFrame, classes: DataFrame, firsts: DataFrame, words: int, p
     cross = direct.unionByName(apart).distinct().join(tested, ["a", "b"], "left_anti")
     cross = _filtered(cross, classes, percent)
     let_go(spark)
-    rest = named.join(_ids(cross), "c", "left_semi").join(wanted, "c", "left_anti").join(grouped, "c", "left_anti")
-    rest = materialize(rest, "wanted")
-    last = _sets(docs, rest, words)
-    found = materialize(links.unionByName(_verified(cross, known.unionByName(last), percent)), "all-links")
-    discard(shared, ends, tested, wanted, sets, open_, clans, grouped, further, edits, rest, last)
+    texts = _texts(docs, named.join(_ids(cross), "c", "left_semi"))
+    found = materialize(links.unionByName(_verified(cross, texts, words, percent)), "all-links")
+    discard(shared, ends, tested, open_, clans, edits, texts)
     return found
 
 
-def _edits(clans: DataFrame, sets: DataFrame, percent: int, frequent: np.ndarray) -> DataFrame:
+def _edits(clans: DataFrame, texts: DataFrame, words: int, percent: int, frequent: np.ndarray) -> DataFrame:
     """The first shingles in which each class differs from its centre, under an order all
     of a centre's classes share: those the centre lacks first, frequent ones after others.
 
@@ -370,8 +369,8 @@ def _edits(clans: DataFrame, sets: DataFrame, percent: int, frequent: np.ndarray
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = shared.value
         for batch in batches:
-            for centre, c, root, x, y in zip(batch["centre"], batch["c"], batch["root"], batch["tokens"], batch["of_centre"]):
-                own, base = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for centre, c, root, x, y in zip(batch["centre"], batch["c"], batch["root"], batch["text_c"], batch["text_centre"]):
+                own, base = shingles(x, words), shingles(y, words)
                 added, missing = np.setdiff1d(own, base, True), np.setdiff1d(base, own, True)
                 added, missing = (t[np.argsort(_mixed(t, 58))] for t in (added, missing))
                 late = in_bitmap(added.view(np.int64), known)
@@ -382,8 +381,7 @@ def _edits(clans: DataFrame, sets: DataFrame, percent: int, frequent: np.ndarray
                 place = np.arange(len(first))
                 yield pd.DataFrame({"key": key, "c": c, "root": root, "n": len(own), "differs": len(order), "place": place, "short": place <= most // 2})
 
-    side = lambda key, name: sets.select(F.col("c").alias(key), F.col("tokens").alias(name))
-    both = clans.join(side("c", "tokens"), "c").join(side("centre", "of_centre"), "centre")
+    both = clans.join(_side(texts, "c"), "c").join(_side(texts, "centre"), "centre")
     return both.mapInPandas(run, "key bigint, c bigint, root bigint, n bigint, differs bigint, place bigint, short boolean")
 
 

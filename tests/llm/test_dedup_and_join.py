@@ -119,6 +119,33 @@ def test_near_groups_equal_brute_force(spark, sf_dir, monkeypatch):
     assert got == brute_groups(near_rows(), 4, 85)
 
 
+def test_near_groups_without_ids_or_with_one_for_all(spark):
+    """Different texts under one id, or none, are documents of their own."""
+    for given in ([(None, t) for _, t in near_rows()], [(i % 2, t) for i, t in near_rows()]):
+        df = spark.createDataFrame(given, "doc_id bigint, text string").repartition(4)
+        got = sorted([tuple(r) for r in near_groups(df, 4, 85).collect()], key=str)
+        assert got == brute_groups(given, 4, 85)
+
+
+def kept_by_brute_force(given, k, percent):
+    """Rows that stay: of each group the smallest id, then the smallest digest of the row."""
+    groups = brute_groups([(i, t) for i, (_, t) in enumerate(given)], k, percent)
+    root = {i: r for i, _, r in groups}
+    name = lambda row: hashlib.md5(f"{'null' if row[0] is None else row[0]} {row[1] or ''}".encode()).digest()
+    best = {}
+    for i, row in enumerate(given):
+        if shingle_set(row[1], k):
+            best[root[i]] = min(best.get(root[i], (True, 0, b"\xff" * 17)), (row[0] is None, row[0] or 0, name(row)))
+    return sorted([r for i, r in enumerate(given) if not shingle_set(r[1], k) or best[root[i]][2] == name(r)], key=str)
+
+
+def test_near_dedup_drops_rows_not_ids(spark):
+    near = near_rows()
+    for given in ([(None, t) for _, t in near], [(i % 3, t) for i, t in near], [(r[0], r[1]) for r in rows()] + near[:20] + [(None, near[0][1]), (0, near[150][1])]):
+        df = spark.createDataFrame(given, "doc_id bigint, text string").repartition(4)
+        assert sorted([tuple(r) for r in near_dedup(df).collect()], key=str) == kept_by_brute_force(given, 5, 80)
+
+
 def test_near_dedup_keeps_columns_and_one_of_each_group(spark):
     df = table(spark, [(i, passage(1) + " " + passage(2) + (" tail" if i else ""), "s", i) for i in range(4)] + [(9, passage(5), "s", 1), (10, "", None, None)])
     stay = near_dedup(df)

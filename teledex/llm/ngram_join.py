@@ -10,8 +10,8 @@ whole sets compared, so the answer is exact.
 Equal sets are one class. Documents that share a prefix shingle are first compared with
 a few members of that group only, its centres; the components found so far then leave few
 pairs, those between components. Two such sets can only link where they differ from the
-centre in the same shingles, so their remaining pairs are joined on the first of these
-differences. A large group of near copies thus costs a few comparisons a document, not
+centre in the same shingles, so in large groups their remaining pairs are joined on the
+first of these differences. A large group of near copies thus costs a few comparisons a document, not
 one a pair, and no link between components is missed.
 
 Only components come out, exactly. Links are no output: pairs inside a component are
@@ -42,7 +42,7 @@ COUNTED_AT_ONCE = 4_000_000
 REMEMBERED = 200_000
 #: Members of groups up to this size are paired directly once the centres are compared:
 #: so many pairs a member at most. Larger groups are joined by what sets members off.
-SMALL_GROUP = 16
+SMALL_GROUP = 200
 
 _MULTIPLIERS = np.array([2 * int.from_bytes(xxhash.xxh64_digest(f"word {i}"), "big") + 1 & (1 << 64) - 1 for i in range(64)], np.uint64)
 
@@ -224,10 +224,9 @@ def _filtered(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs that may link by size, and by the second and the third order's prefixes. The
     narrow test comes first, so few pairs get the prefixes attached, and only the prefixes
     of classes in such pairs are moved."""
-    few = classes.select("c", "n")
 
-    def side(s: str, *columns: str) -> DataFrame:
-        return few.select(F.col("c").alias(s), *[F.col(x).alias(f"{x}_{s}") for x in columns])
+    def side(table: DataFrame, s: str, *columns: str) -> DataFrame:
+        return table.select(F.col("c").alias(s), *[F.col(x).alias(f"{x}_{s}") for x in columns])
 
     def agree(order: str):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -241,14 +240,15 @@ def _filtered(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
         return run
 
-    sized = pairs.join(side("a", "n"), "a").join(side("b", "n"), "b")
+    sized = pairs.join(side(classes, "a", "n"), "a").join(side(classes, "b", "n"), "b")
     left = materialize(sized.filter(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"), "sized-pairs")
+    few = materialize(_some(classes.select("c", "second", "third"), left), "pair-prefixes")
     for order in ("second", "third"):
-        few = materialize(_some(classes.select("c", order), left), f"{order}-prefixes")
-        both = left.join(side("a", order), "a").join(side("b", order), "b")
+        both = left.join(side(few, "a", order), "a").join(side(few, "b", order), "b")
         passed = materialize(both.mapInPandas(agree(order), "a bigint, b bigint, n_a bigint, n_b bigint"), f"pairs-{order}")
-        discard(few, left)
+        discard(left)
         left = passed
+    discard(few)
     return left.select("a", "b")
 
 

@@ -102,7 +102,7 @@ def mix(
     group, size, order_, block = spare(docs, "group", "size", "shuffled", "block")
     sized = docs.withColumn(group, F.coalesce(F.concat(F.lit("="), F.col(f"`{source_col}`").cast("string")), F.lit("null")))
     sized = sized.withColumn(size, F.greatest(words(F.col(f"`{text_col}`")), F.lit(1)))
-    # Rows are named by id and text hash; equal names are equal rows, drawn alike.
+    # Rows are named by source, id and text hash; equal names are equal rows.
     key = F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"), F.lit(seed))
     narrow = sized.select(F.col(group).alias("group"), F.col(f"`{id_col}`").alias("id"), F.col(size).alias("tokens"), key.alias("key"))
     narrow = materialize(narrow, "mix-rows")
@@ -127,9 +127,19 @@ def mix(
         turn = F.xxhash64("group", "block", F.lit(seed), F.col("pass") - 1).alias("block_turn")
         names = [F.col("id").alias(id_col), F.col("group").alias("source"), "pass", "tokens", "block"]
         return drawn.select(*names, turn, F.xxhash64("key", F.col("pass") - 1).alias("doc_turn"))
-    # Names with the most frequent answer, one pass, need not travel to the texts.
-    more = placed.select("key", times.alias("times")).filter("times > 1").groupBy("key").agg(F.max("times").alias("times"))
-    key_, times_ = spare(docs, "key", "times")
-    more = more.select(F.col("key").alias(key_), F.col("times").alias(times_))
-    out = docs.withColumn(key_, key).join(more, key_, "left")
-    return out.withColumn(key_, F.explode(F.sequence(F.lit(1), F.coalesce(F.col(times_), F.lit(1))))).select(*[f"`{c}`" for c in docs.columns])
+    # Rows of one name are equal and lie next to each other, so all but those at the end of
+    # a partial pass are drawn alike; names drawn once need not travel to the texts.
+    drawn = placed.withColumn("times", times).groupBy("group", "key")
+    drawn = drawn.agg(F.min("times").alias("low"), F.max("times").alias("high"), F.sum("times").alias("all"), F.count("*").alias("rows"))
+    drawn = materialize(drawn.filter("high > 1").selectExpr("group", "key", "low", "high", "all - rows * low AS extra"), "mix-times")
+    columns = F.struct(*[f"`{c}`" for c in docs.columns]).alias("row")
+    rows = sized.select(columns, F.col(group).alias("group"), key.alias("key")).join(drawn, ["group", "key"], "left")
+    alike = rows.filter("low IS NULL OR low = high").select("row", F.coalesce("high", F.lit(1)).alias("times"))
+    # The others, one name a source at most, are numbered: so many of them come once more.
+    split = materialize(rows.filter("low < high"), "mix-split")
+    numbered = in_order(split, ["group", "key"], "mix-numbers")
+    starts = numbered.groupBy("group", "key").agg(F.min("position").alias("start"))
+    numbered = numbered.join(starts, ["group", "key"])
+    more = (F.col("position") - F.col("start") < F.col("extra")).cast("bigint")
+    out = alike.unionByName(numbered.select("row", (F.col("low") + more).alias("times")))
+    return out.withColumn("times", F.explode(F.sequence(F.lit(1), "times"))).select("row.*")

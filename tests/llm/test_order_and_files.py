@@ -192,6 +192,27 @@ def test_mixing_meets_its_targets(spark):
     assert mix(table(spark)).count() >= len(rows()) and mix(df.limit(0)).count() == 0
 
 
+def test_mixing_draws_rows_as_often_as_it_lists_them(spark):
+    """Equal rows, rows that two sources share, and rows without id or text."""
+    given = [(i, passage(i % 50, 5 + i % 9), "big", i) for i in range(400)]
+    given += [(i, passage(i % 50, 5 + i % 9), "small", -i) for i in range(20)]
+    given += [(1000, passage(7), "mid", i) for i in range(40)] + [(None, None, "tiny", i) for i in range(9)] + [(None, None, None, 1)] * 3
+    df = table(spark, given)
+    for repetition in (2.0, 3.3):
+        want, got = defaultdict(int), defaultdict(int)
+        for r in mix(df, repetition=repetition, draws=True).collect():
+            want[r.doc_id, r.source] += 1
+        rows_drawn = mix(df, repetition=repetition).collect()
+        for r in rows_drawn:
+            got[r.doc_id, "null" if r.source is None else "=" + r.source] += 1
+        assert got == want
+        assert {r.score for r in rows_drawn if r.source == "mid"} == set(range(40))  # each of the equal rows comes
+        passes = defaultdict(set)
+        for r in rows_drawn:
+            passes[r.doc_id, r.source, r.score].add(r.text)
+        assert len(passes) == len(given) - 2  # two rows are the same in all columns
+
+
 def test_quality_on_held_out_labels(spark):
     sf = "/root/testdata/sf0.01"
     got = {r.doc_id: r for r in QUERIES["op9_quality"](spark, sf).collect()}

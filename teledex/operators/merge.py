@@ -10,14 +10,6 @@ from ..schemas import HTML_RECORD, WIKI_ADDITIONS
 
 KEYS = ["normalized_title", "normalized_year"]
 
-# Session settings the match is tuned for: the wiki side is broadcast while it stays
-# below the threshold, otherwise both sides shuffle and hot keys are split at run time.
-SETTINGS = {
-    "spark.sql.autoBroadcastJoinThreshold": "104857600",
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-}
-
 
 def with_keys(records: DataFrame) -> DataFrame:
     """Add the two key columns; rows whose title key is empty are dropped."""

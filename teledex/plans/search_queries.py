@@ -147,6 +147,11 @@ def _clause_search(rows: list[tuple], boosts: dict[str, float] | None = None):
 
 _TEXT = "array(array_join(w, ' '))"
 _LONG, _MIDDLE, _SHORT = (f"filter(w, x -> length(x) {test})" for test in (">= 9", "BETWEEN 4 AND 8", "< 4"))
+# Neighbours of which one is long.
+_PAIRS = (
+    "transform(filter(sequence(1, size(w) - 1), i -> length(get(w, i - 1)) >= 9 OR length(get(w, i)) >= 9), "
+    "i -> array_join(slice(w, i, 2), ' '))"
+)
 _FIELD_TERM = ("should", "term", "'plot'", _TEXT, "NULL")
 _CLAUSE_QUERIES = {
     "search_field_term": [
@@ -165,7 +170,7 @@ _CLAUSE_QUERIES = {
     ],
     "search_phrase": [
         ("should", "phrase", "'plot'", _TEXT, "NULL"),
-        ("should", "phrase", "'plot'", "transform(sequence(1, size(w) - 1), i -> array_join(slice(w, i, 2), ' '))", "NULL"),
+        ("should", "phrase", "'plot'", _PAIRS, "NULL"),
     ],
     "search_prefix": [
         ("should", "prefix", "'plot'", f"transform({_LONG}, x -> left(x, 6))", "NULL"),
@@ -385,7 +390,8 @@ def _phrase_hits(starts: str) -> str:
 _PHRASES = """
         SELECT item_id, 0 AS clause, unnest(range(len(w))) AS slot, len(w) AS slots, unnest(w) AS term FROM items
         UNION ALL SELECT item_id, i AS clause, slot, 2 AS slots, w[i + slot] AS term
-        FROM (SELECT item_id, w, unnest(range(1, len(w))) AS i FROM items), (SELECT unnest([0, 1]) AS slot)"""
+        FROM (SELECT item_id, w, unnest(range(1, len(w))) AS i FROM items), (SELECT unnest([0, 1]) AS slot)
+        WHERE length(w[i]) >= 9 OR length(w[i + 1]) >= 9"""
 
 ORACLES |= {
     "search_field_term": _clause_sql("0", _FIELD_TERM_SQL, _TITLE_SQL),

@@ -26,10 +26,20 @@ from pyspark.sql import functions as F
 from ..storage import new_path
 from .tokens import encoder
 
-SCALE_BITS, LANES, BLOCK, SEGMENT = 20, 32, 1 << 14, 1 << 19
+SCALE_BITS, LANES, BLOCK, SEGMENT = 20, 32, 1 << 14, 1 << 20
 _MAGIC, _HEAD, _ENTRY = b"RANS", struct.Struct("<4sIIII"), struct.Struct("<III")
 _LOW = np.uint64(1 << 31)
 _32 = np.uint64(32)
+_symbols: dict[bytes, np.ndarray] = {}
+
+
+def _symbol_table(freq: np.ndarray) -> np.ndarray:
+    """The token of each slot of the scale; a worker keeps the last table."""
+    name = freq.tobytes()
+    if name not in _symbols:
+        _symbols.clear()
+        _symbols[name] = np.repeat(np.arange(len(freq), dtype=np.uint16 if len(freq) <= 1 << 16 else np.uint32), freq.astype(np.int64))
+    return _symbols[name]
 
 
 def scaled(counts: np.ndarray, bits: int = SCALE_BITS) -> np.ndarray:
@@ -64,17 +74,18 @@ def encode_segment(ids: np.ndarray, freq: np.ndarray) -> bytes:
     state = np.full((blocks, LANES), _LOW, np.uint64)
     words, given = np.zeros((blocks, steps, LANES), np.uint32), np.zeros((blocks, steps, LANES), bool)
     bits, top = np.uint64(SCALE_BITS), np.uint64(63 - SCALE_BITS)
+    least = np.maximum(freq, np.uint64(1))  # padding may be a token that never occurs
     for t in range(steps - 1, -1, -1):
         on = real[:, t]
         if not on.any():
             continue
-        f, c = freq[grid[:, t]], start[grid[:, t]]
-        f = np.maximum(f, np.uint64(1))  # padding only
+        f, c = least[grid[:, t]], start[grid[:, t]]
         out = on & (state >= (f << top))
         words[:, t], given[:, t] = state.astype(np.uint32), out
         state = np.where(out, state >> _32, state)
         whole = state // f
-        state = np.where(on, (whole << bits) + (state - whole * f) + c, state)
+        after = (whole << bits) + (state - whole * f) + c
+        state = after if on.all() else np.where(on, after, state)
     parts, entries = [], []
     for b in range(blocks):
         own = words[b][given[b]].tobytes()
@@ -101,34 +112,43 @@ def decode_segment(data: bytes, freq: np.ndarray, first: int = 0, last: int | No
         if zlib.crc32(state[b].tobytes() + own.tobytes()) != crcs[b]:
             raise ValueError(f"block {first + b} is damaged")
     start = np.cumsum(freq) - freq
-    symbol = np.repeat(np.arange(len(freq)), freq.astype(np.int64))
+    symbol = _symbol_table(freq)
     bits, mask = np.uint64(SCALE_BITS), np.uint64((1 << SCALE_BITS) - 1)
-    words = np.append(words, np.uint32(0)).astype(np.uint64)
+    words = words.astype(np.uint64)
     steps = BLOCK // LANES
     out = np.zeros((last - first, steps, LANES), np.uint32)
     lane = np.arange(LANES)
+    whole = int(sizes.min(initial=BLOCK)) // LANES  # steps in which every lane has a token
     for t in range(steps):
-        on = t * LANES + lane < sizes[:, None]
-        if not on.any():
-            break
         slot = state & mask
-        ids = symbol[slot.astype(np.int64)]
-        out[:, t] = ids
-        state = np.where(on, freq[ids] * (state >> bits) + slot - start[ids], state)
-        low = on & (state < _LOW)
-        turn = np.cumsum(low, axis=1)
-        word = words[np.where(low, pointer[:, None] + turn - 1, len(words) - 1)]
-        state = np.where(low, (state << _32) | word, state)
-        pointer = pointer + turn[:, -1]
+        ids = symbol[slot.view(np.int64)]
+        after = freq[ids] * (state >> bits) + slot - start[ids]
+        low = after < _LOW
+        if t >= whole:
+            on = t * LANES + lane < sizes[:, None]
+            if not on.any():
+                break
+            after, low = np.where(on, after, state), low & on
+        out[:, t], state = ids, after
+        # Few lanes run low at a step; they take the next words in their turn.
+        block, own = np.nonzero(low)
+        taken = np.bincount(block, minlength=len(pointer))
+        place = np.arange(len(block)) - np.repeat(np.cumsum(taken) - taken, taken)
+        state[block, own] = (state[block, own] << _32) | words[pointer[block] + place]
+        pointer = pointer + taken
     flat = out.reshape(last - first, BLOCK)
     return np.concatenate([flat[b, : sizes[b]] for b in range(last - first)]) if last > first else np.zeros(0, np.uint32)
 
 
 def _token_rows(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
-    """Documents in id order: doc_id, part, start (in the part), n, ids."""
+    """Documents in id order: doc_id, part, start (in the part), n, ids. Each task ends with
+    a row that holds nothing but how often it gave each id (counts; null in other rows)."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    fields = ["doc_id", "part", "start", "n", "width", "ids", "counts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = 0
+        given = np.zeros(0, np.int64)
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -141,12 +161,24 @@ def _token_rows(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
             data = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(offsets * width), pa.py_buffer(own)])
             starts = before + offsets[:-1]
             before += int(offsets[-1])
-            columns = [batch.column("doc_id"), batch.column("part"), pa.array(starts), pa.array(counts), pa.array(np.full(len(counts), width, np.int32)), data.cast(pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "part", "start", "n", "width", "ids"])
+            given = _summed(given, np.bincount(own))
+            columns = [batch.column("doc_id"), batch.column("part"), pa.array(starts), pa.array(counts), pa.array(np.full(len(counts), width, np.int32)), data.cast(pa.binary()), pa.nulls(len(counts), pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=fields)
+        if len(given):
+            types = [batch.column("doc_id").type, batch.column("part").type, pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+            last = [None, None, None, None, None, None, given.astype("<i8").tobytes()]
+            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(last, types)], names=fields)
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
     dealt = docs.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").withColumn("part", F.spark_partition_id())
-    return dealt.select("doc_id", "part", "text").mapInArrow(run, f"doc_id {kind}, part int, start bigint, n bigint, width int, ids binary")
+    return dealt.select("doc_id", "part", "text").mapInArrow(run, f"doc_id {kind}, part int, start bigint, n bigint, width int, ids binary, counts binary")
+
+
+def _summed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The sum of two arrays of counts; the shorter one lacks zeros."""
+    a, b = (a, b) if len(a) >= len(b) else (b, a)
+    out = a.copy()
+    out[: len(b)] += b
+    return out
 
 
 def write_store(docs: DataFrame, path: str, vocabulary: str = "word_bpe_49k.json", end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> None:
@@ -160,19 +192,19 @@ def write_store(docs: DataFrame, path: str, vocabulary: str = "word_bpe_49k.json
     texts = texts.withColumn("tie", F.monotonically_increasing_id())
     raw = new_path(spark, "token-rows")
     _token_rows(texts, vocabulary, end_id).write.option("compression", "zstd").parquet(raw)
-    rows = spark.read.parquet(raw)
+    written = spark.read.parquet(raw)
+    rows = written.filter("counts IS NULL").drop("counts")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts = np.zeros(0, np.int64)
+        given = np.zeros(0, np.int64)
         for batch in batches:
-            for width, own in batch.groupby("width")["ids"]:
-                part = np.bincount(np.frombuffer(b"".join(own), f"<u{width}"))
-                size = max(len(part), len(counts))
-                counts = np.pad(counts, (0, size - len(counts))) + np.pad(part, (0, size - len(part)))
-        used = np.flatnonzero(counts)
-        yield pd.DataFrame({"id": used, "n": counts[used]})
-
-    seen = rows.select("width", "ids").mapInPandas(count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).orderBy("id")
+            for own in batch["counts"]:
+                given = _summed(given, np.frombuffer(own, "<i8"))
+        used = np.flatnonzero(given)
+        yield pd.DataFrame({"id": used, "n": given[used]})
+
+    tasks = written.filter("counts IS NOT NULL").select("counts")
+    seen = tasks.mapInPandas(count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).orderBy("id")
     counts = seen.toPandas()  # one row per id of the vocabulary at most
     freq = np.zeros(int(counts["id"].max()) + 1 if len(counts) else 1, np.int64)
     freq[counts["id"].to_numpy(np.int64)] = counts["n"]

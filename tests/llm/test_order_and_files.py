@@ -8,6 +8,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from cases import passage, rows, table
 from tokenizers import Tokenizer
@@ -19,6 +20,7 @@ from teledex.llm.quality import judge_quality, keep_good
 from teledex.llm.queries import QUERIES
 from teledex.llm.sentence_spans import remove_repeats, sentences
 from teledex.llm.sharding import assign_shards, hilbert_index, write_shards
+from teledex.llm.tokens import encoder
 
 
 def ids_of(file, texts, end):
@@ -147,6 +149,16 @@ def test_token_store_round_trip(spark, sf_dir, tmp_path):
     assert token_store.stored(table(spark)).count() == len(rows()) and token_store.stored(table(spark).limit(0)).count() == 0
 
 
+def test_chunks_give_the_ids_of_whole_texts():
+    texts = ["A, b. <|ENDOFTEXT|> x<|endoftext|>, Y", "H\u0331 W\u030a, I\u0307.", "a\r\nb\tc,d.)x' it's, It'S.", "", "  ", "ÀÉ, ß. ﬁ, \u212a, Å.", "naïve, can't!! ..., a.b.c. 12,3", "\x01 a\x01, b", "Straße, œuvre; x" * 300]
+    for file in ("word_bpe_49k.json", "byte_bpe_50k.json"):
+        known = encoder(file)
+        want = [x.ids for x in known.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        for _ in range(2):  # the second time chunks are remembered
+            ids, counts = known.encode(pa.array([*texts, None]))
+            assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [*want, []]
+
+
 def test_segments_decode_from_any_block_and_notice_damage():
     rng = np.random.default_rng(1)
     ids = np.minimum(rng.zipf(1.3, 70_000), 49_407).astype(np.uint32)

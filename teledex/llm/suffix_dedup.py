@@ -6,6 +6,10 @@ whose anchor hash occurs again can be repeated, and all strings that could be eq
 in the shard of their anchor. A shard holds segments (the run of places of an anchor and
 the bytes they span), equal ones folded with their count; its suffix array is built by
 induced sorting, and permuted common prefixes of LENGTH or more mark repeated places.
+
+Equal strings hold their anchor at the same distance. Places are put in zones of near
+distances, all strings of which hold the same core of a segment; zones whose core no other
+segment of the anchor has can't be repeated, and stay out of the arrays.
 """
 
 from __future__ import annotations
@@ -23,6 +27,8 @@ from .common import bitmap, in_bitmap, row_key
 from .suffix_arrays import permuted_lcp, suffix_array
 
 LENGTH, GRAM = 200, 32
+#: Distances of the anchor in a zone of places.
+ZONE = 24
 #: Bytes of a shard, and segments of one anchor above which its strings are grouped by
 #: their own hash instead, in as many tasks as that takes.
 SHARD_BYTES, MANY_SEGMENTS = 2 << 20, 2000
@@ -49,16 +55,22 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of starting places with one anchor: hash, first place, count. Long texts are
-    worked on in pieces that overlap by a string less one byte."""
+    """Runs of starting places with one anchor: hash, first place, count."""
+    return _anchored(data)[:3]
+
+
+def _anchored(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of starting places with one anchor: hash, first place, count, distance of the
+    anchor from the first place. Long texts are worked on in pieces that overlap by a string
+    less one byte."""
     parts = [_anchors(data[i : i + _CHUNK + LENGTH - 1], i) for i in range(0, max(1, len(data) - LENGTH + 1), _CHUNK)]
     return tuple(np.concatenate(x) for x in zip(*parts))
 
 
-def _anchors(data: bytes, offset: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _anchors(data: bytes, offset: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     n = len(data)
     if n < LENGTH:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return (np.zeros(0, np.int64),) * 4
     up, down = _power_tables(n)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((np.frombuffer(data, np.uint8).astype(np.uint64) + np.uint64(1)) * down, dtype=np.uint64)])
     grams = (sums[GRAM:] - sums[:-GRAM]) * up[: n - GRAM + 1]
@@ -77,7 +89,8 @@ def _anchors(data: bytes, offset: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
     least = np.minimum(behind[:places], ahead[width - 1 : width - 1 + places]) & np.uint64((1 << 24) - 1)
     first = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
     count = np.diff(np.append(first, places))
-    return grams[least[first].astype(np.int64)].view(np.int64), first + offset, count
+    place = least[first].astype(np.int64)
+    return grams[place].view(np.int64), first + offset, count, place - first
 
 
 def _bytes_of(text: str | None) -> bytes:
@@ -98,10 +111,10 @@ def _repeated_anchors(texts: DataFrame) -> DataFrame:
 
 
 def _candidates(data: bytes, filter_: np.ndarray):
-    """(anchor, first place, count) of a text's runs that may be repeated."""
-    hashes, first, count = anchors(data)
-    kept = in_bitmap(hashes, filter_)
-    return zip(hashes[kept].tolist(), first[kept].tolist(), count[kept].tolist())
+    """(anchor, first place, count, distance) of a text's runs that may be repeated."""
+    found = _anchored(data)
+    kept = in_bitmap(found[0], filter_)
+    return zip(*(x[kept].tolist() for x in found))
 
 
 def _segment_name(anchor: int, data: bytes) -> bytes:
@@ -109,20 +122,51 @@ def _segment_name(anchor: int, data: bytes) -> bytes:
 
 
 def _segments(texts: DataFrame, shared) -> DataFrame:
-    """Distinct segments: anchor, name, data, n (how often). Equal bytes are folded."""
+    """Distinct segments: anchor, name, data, at (the anchor's place in them, which follows
+    from the data), n (how often). Equal bytes are folded."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found: dict[tuple[int, bytes], int] = {}
+            found: dict[tuple[int, bytes, int], int] = {}
             for text in batch["text"]:
                 data = _bytes_of(text)
-                for anchor, first, count in _candidates(data, shared.value):
-                    own = (anchor, data[first : first + count + LENGTH - 1])
+                for anchor, first, count, at in _candidates(data, shared.value):
+                    own = (anchor, data[first : first + count + LENGTH - 1], at)
                     found[own] = found.get(own, 0) + 1
-            yield pd.DataFrame({"anchor": [a for a, _ in found], "name": [_segment_name(*x) for x in found], "data": [d for _, d in found], "n": list(found.values())})
-
-    rows = texts.select("text").mapInPandas(run, "anchor bigint, name binary, data binary, n bigint")
-    return materialize(rows.groupBy("anchor", "name", "data").agg(F.sum("n").alias("n")), "segments")
+            names = [_segment_name(a, d) for a, d, _ in found]
+            yield pd.DataFrame({"anchor": [a for a, _, _ in found], "name": names, "data": [d for _, d, _ in found], "at": [at for _, _, at in found], "n": list(found.values())})
+
+    rows = texts.select("text").mapInPandas(run, "anchor bigint, name binary, data binary, at int, n bigint")
+    return materialize(rows.groupBy("anchor", "name", "data", "at").agg(F.sum("n").alias("n")), "segments")
+
+
+def _zones(size: int, at: int) -> Iterator[tuple[int, int, int, int, int]]:
+    """Zones of a segment's places: number, first and last place, and the core's ends."""
+    places = size - LENGTH + 1
+    for far in range(0, LENGTH - GRAM + 1, ZONE):
+        last = min(far + ZONE - 1, LENGTH - GRAM)
+        low, high = max(0, at - last), min(places - 1, at - far)
+        if low <= high:
+            yield far, low, high, at - far, at - last + LENGTH
+
+
+def shared_parts(anchors_: list[int], segments: list[bytes], at: list[int]) -> list[tuple[int, int, int]]:
+    """(segment, first place, last place) of all places whose zone has a core that another
+    segment of the same anchor has too; neighbouring zones are one part."""
+    cores: dict[tuple[int, int, bytes], int] = {}
+    zones = [[(low, high, (anchor, far, data[a:b])) for far, low, high, a, b in _zones(len(data), x)] for anchor, data, x in zip(anchors_, segments, at)]
+    for own in zones:
+        for _, _, core in own:
+            cores[core] = cores.get(core, 0) + 1
+    out: list[tuple[int, int, int]] = []
+    for i, own in enumerate(zones):
+        for low, high, core in reversed(own):  # from the first place on
+            if cores[core] > 1:
+                if out and out[-1][0] == i and out[-1][2] == low - 1:
+                    out[-1] = (i, out[-1][1], high)
+                else:
+                    out.append((i, low, high))
+    return out
 
 
 def mark_repeats(segments: list[bytes], length: int = LENGTH) -> list[np.ndarray]:
@@ -158,14 +202,20 @@ def _repeated_places(segments: DataFrame) -> DataFrame:
     whole = segments.filter("n > 1").select("name", F.array(F.struct(F.lit(0).alias("low"), place_count.cast("int").alias("high"))).alias("ranges"))
     total = variants.filter(F.col("variants") <= MANY_SEGMENTS).agg(F.sum("bytes").alias("b")).first().b or 0
     shards = int(total // SHARD_BYTES) + 1
-    open_ = segments.select("anchor", "name", "data", "n").join(variants, "anchor")
+    open_ = segments.join(variants, "anchor")
 
     def sort(group: pd.DataFrame) -> pd.DataFrame:
         data = [bytes(x) for x in group["data"]]
-        rows = [(n, r) for n, m, r in zip(group["name"], group["n"], map(_ranges, mark_repeats(data))) if r and m == 1]
+        parts = shared_parts(group["anchor"].tolist(), data, group["at"].tolist())
+        marks = mark_repeats([data[i][low : high + LENGTH] for i, low, high in parts])
+        names, n, found = group["name"].tolist(), group["n"].tolist(), {}
+        for (i, low, _), own in zip(parts, marks):
+            if n[i] == 1:
+                found.setdefault(i, []).extend((a + low, b + low) for a, b in _ranges(own))
+        rows = [(names[i], ranges) for i, ranges in found.items() if ranges]
         return pd.DataFrame(rows, columns=["name", "ranges"])
 
-    few = open_.filter(F.col("variants") <= MANY_SEGMENTS).select(F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard"), "name", "data", "n")
+    few = open_.filter(F.col("variants") <= MANY_SEGMENTS).select(F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard"), "anchor", "name", "data", "at", "n")
     sorted_ = few.groupBy("shard").applyInPandas(sort, _RANGES)
 
     def strings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -175,6 +225,7 @@ def _repeated_places(segments: DataFrame) -> DataFrame:
                 yield pd.DataFrame({"string": [xxhash.xxh3_128_digest(data[i : i + LENGTH]) for i in places], "name": name, "place": places})
 
     many = open_.filter(F.col("variants") > MANY_SEGMENTS).select("name", "data").mapInPandas(strings, "string binary, name binary, place int")
+    many = materialize(many, "strings")
     twice = many.groupBy("string").agg(F.count("*").alias("n")).filter("n > 1").select("string")
     places = many.join(twice, "string").groupBy("name").agg(F.collect_set(F.struct(F.col("place").alias("low"), (F.col("place") + 1).alias("high"))).alias("ranges"))
     return materialize(whole.unionByName(sorted_).unionByName(places), "repeated-places")
@@ -198,7 +249,7 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             names, keys, places = [], [], []
             for key, text in zip(batch["key"], batch["text"]):
                 data = _bytes_of(text)
-                for anchor, first, count in _candidates(data, shared.value):
+                for anchor, first, count, _ in _candidates(data, shared.value):
                     names.append(_segment_name(anchor, data[first : first + count + LENGTH - 1]))
                     keys.append(key)
                     places.append(first)
@@ -209,8 +260,11 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         rows = []
         for own, runs in zip(text, found):
             data = _bytes_of(own)
+            if runs is None:
+                rows.append((len(data), 0, 0, data))
+                continue
             edges = np.zeros(len(data) + 1, np.int64)
-            for run in runs if runs is not None else []:
+            for run in runs:
                 for r in run["ranges"]:
                     edges[run["first"] + r["low"]] += 1
                     edges[run["first"] + r["high"] + LENGTH - 1] -= 1

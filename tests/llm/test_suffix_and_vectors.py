@@ -38,6 +38,27 @@ def test_anchors_depend_on_the_string_alone():
         assert anchors(data[p : p + LENGTH])[0].tolist() == [at[p]]
 
 
+def test_places_left_out_of_arrays_are_not_repeated():
+    rng = random.Random(5)
+    base = bytes(rng.choice(b"abcdefgh ") for _ in range(3000))
+    texts = [base]
+    for _ in range(12):  # copies of stretches of the base, with changes a few hundred bytes apart
+        own = bytearray(base[rng.randrange(1200) : 1600 + rng.randrange(1400)])
+        for i in range(rng.randrange(150, 400), len(own), rng.randrange(210, 500)):
+            own[i] = ord("#")
+        texts.append(bytes(own))
+    rows_ = sorted({(a, t[f : f + n + LENGTH - 1], at) for t in texts for a, f, n, at in zip(*(x.tolist() for x in suffix_dedup._anchored(t)))})
+    data = [d for _, d, _ in rows_]
+    parts = suffix_dedup.shared_parts([a for a, _, _ in rows_], data, [at for _, _, at in rows_])
+    got = [np.zeros(len(d) - LENGTH + 1, bool) for d in data]
+    for (i, low, high), marks in zip(parts, suffix_dedup.mark_repeats([data[i][a : b + LENGTH] for i, a, b in parts])):
+        assert not got[i][low : high + 1].any()
+        got[i][low : high + 1] = marks
+    assert sum(b - a + 1 for _, a, b in parts) < sum(map(len, got))
+    assert sum(x.sum() for x in got) > 0
+    assert all((a == b).all() for a, b in zip(got, suffix_dedup.mark_repeats(data)))
+
+
 def brute_cut(texts):
     data = [(t or "").encode() for t in texts]
     seen = Counter(d[i : i + LENGTH] for d in data for i in range(len(d) - LENGTH + 1))

@@ -227,7 +227,7 @@ def _repeated_places(segments: DataFrame) -> DataFrame:
     many = open_.filter(F.col("variants") > MANY_SEGMENTS).select("name", "data").mapInPandas(strings, "string binary, name binary, place int")
     many = materialize(many, "strings")
     twice = many.groupBy("string").agg(F.count("*").alias("n")).filter("n > 1").select("string")
-    places = many.join(twice, "string").groupBy("name").agg(F.collect_set(F.struct(F.col("place").alias("low"), (F.col("place") + 1).alias("high"))).alias("ranges"))
+    places = many.join(twice, "string", "left_semi").groupBy("name").agg(F.collect_set(F.struct(F.col("place").alias("low"), (F.col("place") + 1).alias("high"))).alias("ranges"))
     return materialize(whole.unionByName(sorted_).unionByName(places), "repeated-places")
 
 

@@ -418,3 +418,17 @@ def test_a_new_version_leaves_readers_alone(spark, frame):
     assert len(listed(spark, path)) == 2  # the first is gone
     with pytest.raises(ValueError, match="no index"):
         ix.read_index(spark, path + "-nowhere")
+
+
+# --- work that grows with the collection only ------------------------------------
+
+
+def test_buckets_grow_with_the_text(spark, frame, monkeypatch):
+    """A bucket's postings, which one task sorts and scores, stay as many on larger input."""
+    fields = ix.search_fields(frame)
+    total = sum(len(r.value.encode()) for r in fields.collect())
+    monkeypatch.setattr(ix, "BUCKET_BYTES", total // 20)
+    index = ix.index_records(frame)
+    name = re.search(r"teledex_postings_\w+", plan(index.postings))[0]
+    described = spark.sql(f"DESCRIBE EXTENDED {name}").filter("col_name = 'Num Buckets'").first()
+    assert 20 <= int(described.data_type) <= 21

@@ -432,3 +432,16 @@ def test_buckets_grow_with_the_text(spark, frame, monkeypatch):
     name = re.search(r"teledex_postings_\w+", plan(index.postings))[0]
     described = spark.sql(f"DESCRIBE EXTENDED {name}").filter("col_name = 'Num Buckets'").first()
     assert 20 <= int(described.data_type) <= 21
+
+
+def test_pruned_words_leave_postings_where_they_are(spark, index, monkeypatch):
+    """The words that remain are few, whatever the optimizer makes of the joins before."""
+    plans, write = {}, se.materialize
+    monkeypatch.setattr(se, "materialize", lambda df, name: (plans.setdefault(name, df), write(df, name))[1])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1m")
+    try:
+        se.candidates(spark.createDataFrame(list(QUERY_TEXTS.items()), QUERY_ROWS), index, k=2)
+        no_postings_move(plans["sums"])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -15,6 +15,7 @@ the fields. Postings are bucketed by document and never move.
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -43,7 +44,7 @@ def _scoped(clauses: DataFrame, *kinds: str) -> DataFrame:
 
 def _resolved(
     rows: DataFrame, weight: Column, constant: bool = False, slot: Column | None = None,
-    slots: Column | None = None,
+    slots: Column | None = None, df: Column | None = None,
 ) -> DataFrame:
     null = F.lit(None)
     return rows.select(
@@ -54,6 +55,7 @@ def _resolved(
         F.lit(constant).alias("constant"),
         (null if slot is None else slot).cast("int").alias("slot"),
         (null if slots is None else slots).cast("int").alias("slots"),
+        (null if df is None else df).cast("long").alias("df"),
     )
 
 
@@ -78,7 +80,7 @@ def _phrases(clauses: DataFrame, dictionary: DataFrame) -> DataFrame:
         F.sum("idf").alias("total_idf"), F.count(F.lit(1)).alias("known")
     )
     complete = found.join(total, [*_CLAUSE, "field"]).filter(F.col("known") == F.col("slots"))
-    return _resolved(complete, F.col("total_idf"), slot=F.col("slot"), slots=F.col("slots"))
+    return _resolved(complete, F.col("total_idf"), slot=F.col("slot"), slots=F.col("slots"), df=F.col("df"))
 
 
 def _like_pattern(text: Column, kind: Column) -> Column:
@@ -244,12 +246,78 @@ def _word_hits(index: SearchIndex, wanted: DataFrame) -> DataFrame:
     return rows.groupBy(_PLACE).agg(score.alias("score"))
 
 
+def _phrase_words(wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The words of all phrases, ``(field, term, word, asks)``, and the clauses behind each
+    distinct phrase. ``asks`` holds the phrases of which the word is the rarest, with the
+    places of their words, rarest first."""
+    words = wanted.select("field", "term", "df").distinct().withColumn("word", F.monotonically_increasing_id())
+    words = materialize(words, "phrase-words")
+    place = F.struct("df", "word", "slot")
+    placed = wanted.join(words.drop("df"), ["field", "term"]).groupBy(*_CLAUSE, "field", "weight", "mean_length")
+    clauses = placed.agg(F.transform(F.sort_array(F.collect_list(place)), lambda p: p.dropFields("df")).alias("places"))
+    phrases = clauses.select("places").distinct().withColumn("phrase", F.monotonically_increasing_id())
+    phrases = materialize(phrases, "phrases")
+    rarest = F.get("places", F.lit(0))["word"].alias("word")
+    asks = phrases.groupBy(rarest).agg(F.collect_list(F.struct("phrase", "places")).alias("asks"))
+    asked = materialize(words.drop("df").join(asks, "word", "left"), "phrase-asks")
+    return asked, materialize(clauses.join(phrases, "places").drop("places"), "phrase-clauses")
+
+
 def _phrase_hits(index: SearchIndex, wanted: DataFrame) -> DataFrame:
     """A phrase occurs where all its words agree on where it starts.
 
-    First documents that hold all words are counted, without positions. Only of these the
-    positions are gathered: per document, the starts that each word's allow intersect.
+    A document is asked for a phrase only if it holds the phrase's rarest word, so common
+    words make no rows per clause; and only once, however many clauses ask for it. The first
+    pass finds the documents with all words of a phrase, without positions. Only of these
+    the second gathers positions: the starts that each word's allow intersect.
     """
+    words, clauses = _phrase_words(wanted)
+    known = F.col("doc_id").isNotNull()
+    held = _postings(index).filter(known).join(words, ["field", "term"]).groupBy("doc_id")
+    held = held.agg(F.collect_list("word").alias("held"), F.flatten(F.collect_list("asks")).alias("asks"))
+    has_all = lambda ask: F.forall(ask["places"], lambda p: F.array_contains("held", p["word"]))
+    whole = F.struct("doc_id", F.filter("asks", has_all).alias("asks"))
+    # Listed and filtered as one, so that the words are compared once.
+    whole = held.select(F.inline(F.filter(F.array(whole), lambda x: F.size(x["asks"]) > 0)))
+    needed = F.array_distinct(F.flatten(F.transform("asks", lambda ask: ask["places"]["word"])))
+    rows = _postings(index, "length", "positions").join(words.drop("asks"), ["field", "term"])
+    rows = rows.join(whole.withColumn("needed", needed), "doc_id").filter(F.array_contains("needed", F.col("word")))
+    entry = F.struct("word", F.struct("length", "positions").alias("posting"))
+    per_document = rows.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(entry)).alias("posted"), F.first("asks").alias("asks"))
+
+    def starts(place: Column) -> Column:
+        return F.transform(F.try_element_at("posted", place["word"])["positions"], lambda p: p - place["slot"])
+
+    def counted(ask: Column) -> Column:
+        first, others = F.get(ask["places"], F.lit(0)), F.slice(ask["places"], F.lit(2), F.size(ask["places"]))
+        shared = F.aggregate(others, starts(first), lambda found, place: F.array_intersect(found, starts(place)))
+        length = F.try_element_at("posted", first["word"])["length"]
+        return F.struct(ask["phrase"].alias("phrase"), F.size(shared).alias("tf"), length.alias("length"))
+
+    found = F.filter(F.transform("asks", counted), lambda x: x["tf"] > 0)
+    score = F.col("weight") * saturation(F.col("tf"), F.col("length"), F.col("mean_length"))
+    return per_document.select("doc_id", F.inline(found)).join(clauses, "phrase").select(*_PLACE, score.alias("score"))
+
+
+def _repeated(index: SearchIndex) -> DataFrame:
+    """Ids that several records with the same field have."""
+    fields = index.postings.filter("ordinal = 0").groupBy("doc_id", "field").agg(F.count(F.lit(1)).alias("records"))
+    return fields.filter((F.col("records") > 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
+
+
+def _phrases_found(index: SearchIndex, wanted: DataFrame) -> DataFrame:
+    """Phrases of records whose id is their own, and apart from them of ids that repeat."""
+    repeated = materialize(_repeated(index), "repeated-ids")
+    if repeated.isEmpty():
+        return _phrase_hits(index, wanted)
+    own, shared = (index.postings.join(repeated, "doc_id", how) for how in ("left_anti", "left_semi"))
+    hits = _phrase_hits(replace(index, postings=own), wanted)
+    return hits.unionByName(_shared_phrase_hits(replace(index, postings=shared), wanted))
+
+
+def _shared_phrase_hits(index: SearchIndex, wanted: DataFrame) -> DataFrame:
+    """As :func:`_phrase_hits` for ids that repeat: the postings of an id count together, so
+    one that lacks a word may still have as many as the phrase has words."""
     words = wanted.select(*_CLAUSE, "field", "term", "slots").distinct()
     distinct = wanted.groupBy(*_CLAUSE, "field").agg(F.count_distinct("term").alias("words"))
     held = _postings(index).join(words, ["field", "term"]).groupBy(_PLACE).agg(F.count(F.lit(1)).alias("held"))
@@ -273,6 +341,11 @@ def _phrase_hits(index: SearchIndex, wanted: DataFrame) -> DataFrame:
     return counted.select(*_PLACE, score.alias("score"))
 
 
+def _wanted(clauses: DataFrame, index: SearchIndex, boosts: dict[str, float] | None) -> DataFrame:
+    means = index.fields.select("field", "mean_length")
+    return resolve_clauses(clauses, index, boosts).join(means, "field")
+
+
 def clause_hits(
     clauses: DataFrame, index: SearchIndex, boosts: dict[str, float] | None = None
 ) -> DataFrame:
@@ -280,13 +353,10 @@ def clause_hits(
 
     Positions, the bulk of the postings, are read only when there are phrases.
     """
-    resolved = resolve_clauses(clauses, index, boosts).join(
-        index.fields.select("field", "mean_length"), "field"
-    )
     in_phrase = F.col("slot").isNotNull()
-    wanted = materialize(resolved, "clauses")
+    wanted = materialize(_wanted(clauses, index, boosts), "clauses")
     hits = []
-    for kind, rows in ((_word_hits, wanted.filter(~in_phrase)), (_phrase_hits, wanted.filter(in_phrase))):
+    for kind, rows in ((_word_hits, wanted.filter(~in_phrase)), (_phrases_found, wanted.filter(in_phrase))):
         if not rows.isEmpty():
             hits.append(kind(index, rows))
     return reduce(DataFrame.unionByName, hits or [_word_hits(index, wanted)])

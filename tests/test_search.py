@@ -445,3 +445,31 @@ def test_pruned_words_leave_postings_where_they_are(spark, index, monkeypatch):
         no_postings_move(plans["sums"])
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_common_words_ask_for_no_phrase(spark, index):
+    """Each phrase is asked of documents with its rarest word, once for all clauses."""
+    texts = ["the star", "the lost", "lost the", "the captain the"]
+    rows = [(q, i, "should", "phrase", "plot", t, None) for q in (1, 2) for i, t in enumerate(texts)]
+    wanted = cl._wanted(spark.createDataFrame(rows, cl.CLAUSE_SCHEMA), index, None)
+    words, clauses = cl._phrase_words(cl.materialize(wanted, "clauses"))
+    df = {r.term: r.df for r in index.terms.filter("field = 'plot'").collect()}
+    asked = {r.term: len(r.asks) for r in words.filter("asks IS NOT NULL").collect()}
+    want = {}
+    for text in texts:
+        rarest = min(set(text.split()), key=lambda w: df[w])
+        want[rarest] = want.get(rarest, 0) + 1
+    assert asked == want and "the" not in asked and clauses.count() == len(rows)
+
+
+def test_phrases_of_ids_that_repeat(spark, frame):
+    """Ids that several records have don't change the phrases of other records."""
+    copies = frame.filter("doc_id % 3 = 0").unionByName(frame.filter("doc_id % 6 = 0").withColumn("plot", F.lit("the star lost ship")))
+    alone, mixed = ix.index_records(frame), ix.index_records(frame.unionByName(copies))
+    rows = [(1, i, "should", "phrase", "plot", t, None) for i, t in enumerate(("the star", "lost ship", "the the", "star"))]
+    wanted = [cl.materialize(cl._wanted(spark.createDataFrame(rows, cl.CLAUSE_SCHEMA), x, None).withColumn("weight", F.lit(1.0)).withColumn("mean_length", F.lit(9.0)), "clauses") for x in (alone, mixed)]
+    got = lambda hits: sorted((r.clause_id, r.doc_id, round(r.score, 6)) for r in hits.collect())
+    one, two = got(cl._phrase_hits(alone, wanted[0])), got(cl._phrases_found(mixed, wanted[1]))
+    assert one == got(cl._shared_phrase_hits(alone, wanted[0]))
+    assert [x for x in two if x[1] % 3] == [x for x in one if x[1] % 3]
+    assert two == got(cl._shared_phrase_hits(mixed, wanted[1]))

@@ -10,7 +10,8 @@ A clause row is ``(query_id, clause_id, occur, kind, field, text, upper)``:
 Every clause is first resolved against the term dictionary; one pass over the postings
 then serves all word clauses, and two the phrases if there are any. Terms, phrases and
 fuzzy terms score by BM25, the pattern kinds score 1 per matching field; ``boosts`` weigh
-the fields. Postings are bucketed by document and never move.
+the fields. Postings are bucketed by document and never move. Scores of words are summed
+per query and document at once; which clauses matched is kept in the bits of numbers.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from __future__ import annotations
 from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.analysis import tokenize
@@ -362,6 +363,51 @@ def clause_hits(
     return reduce(DataFrame.unionByName, hits or [_word_hits(index, wanted)])
 
 
+# Bits of what matched: the first two, then one for each ``must`` clause of the query.
+_SHOULD, _MUST_NOT, _MUST = 0, 1, 2
+_BITS = 62  # in one number
+
+
+def _marked(wanted: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Adds the bits of a clause, in as many columns as the query with most ``must`` clauses
+    takes, and ``place``: 0 where scores add up over terms, else a number for the clause's field."""
+    occur = F.col("occur")
+    clause = Window.partitionBy("query_id", "occur").orderBy("clause_id")
+    bit = F.when(occur == "must", F.dense_rank().over(clause) - 1 + _MUST)
+    bit = bit.when(occur == "should", _SHOULD).when(occur == "must_not", _MUST_NOT)
+    once = F.max("constant").over(Window.partitionBy(*_CLAUSE, "field"))
+    number = F.dense_rank().over(Window.partitionBy("query_id").orderBy("clause_id", "occur", "field"))
+    rows = wanted.withColumns({"bit": bit, "place": F.when(once, number).otherwise(0), "scored": occur != "must_not"})
+    rows = materialize(rows, "clauses")
+    last = rows.agg(F.max("bit")).first()[0] or 0  # one number
+    names = [f"bits{n}" for n in range(last // _BITS + 1)]
+    marked = {x: F.expr(f"CASE WHEN bit DIV {_BITS} = {n} THEN shiftleft(1L, bit % {_BITS}) ELSE 0L END") for n, x in enumerate(names)}
+    return rows.withColumns(marked), names
+
+
+def _document_words(index: SearchIndex, wanted: DataFrame, bits: list[str]) -> DataFrame:
+    """``(query_id, doc_id, score, bits)`` of the word clauses. The pattern kinds score once
+    per clause and field, so these are grouped by place first."""
+    rows = _postings(index, "tf", "length").join(wanted, ["field", "term"])
+    part = F.when(F.col("scored"), F.col("weight") * saturation(F.col("tf"), F.col("length"), F.col("mean_length")))
+    if not wanted.filter("place > 0").isEmpty():
+        once = F.max(F.when(F.col("scored"), F.col("weight")))
+        score = F.when(F.max("constant"), once).otherwise(F.sum(part))
+        rows = rows.groupBy("query_id", "doc_id", "place").agg(score.alias("score"), *[F.bit_or(x).alias(x) for x in bits])
+        part = F.col("score")
+    return _document_sums(rows, part, bits)
+
+
+def _document_sums(rows: DataFrame, score: Column, bits: list[str]) -> DataFrame:
+    return rows.groupBy("query_id", "doc_id").agg(F.sum(score).alias("score"), *[F.bit_or(x).alias(x) for x in bits])
+
+
+def _document_phrases(index: SearchIndex, wanted: DataFrame, bits: list[str]) -> DataFrame:
+    marks = wanted.select(*_CLAUSE, "scored", *bits).distinct()
+    hits = _phrases_found(index, wanted).join(marks, _CLAUSE)
+    return _document_sums(hits, F.when(F.col("scored"), F.col("score")), bits)
+
+
 def search_clauses(
     clauses: DataFrame,
     index: SearchIndex,
@@ -374,22 +420,20 @@ def search_clauses(
 
     A ``must`` clause of terms or a phrase that holds no word demands nothing.
     """
-    occur, score = F.col("occur"), F.col("score")
     wordless = F.col("kind").isin("term", "phrase") & (F.size(tokenize(F.coalesce("text", F.lit("")))) == 0)
-    demanded = clauses.groupBy("query_id").agg(F.count_if((occur == "must") & ~wordless).alias("demanded"))
-    documents = (
-        clause_hits(clauses, index, boosts)
-        .groupBy("query_id", "doc_id")
-        .agg(
-            F.count_distinct(F.when(occur == "must", F.col("clause_id"))).alias("must"),
-            F.count_if(occur == "should").alias("should"),
-            F.count_if(occur == "must_not").alias("must_not"),
-            F.round(F.sum(F.when(occur != "must_not", score)), SCORE_DIGITS).alias("score"),
-        )
-    )
+    demanded = clauses.groupBy("query_id").agg(F.count_if((F.col("occur") == "must") & ~wordless).alias("demanded"))
+    wanted, bits = _marked(_wanted(clauses, index, boosts))
+    in_phrase = F.col("slot").isNotNull()
+    parts = []
+    for kind, rows in ((_document_words, wanted.filter(~in_phrase)), (_document_phrases, wanted.filter(in_phrase))):
+        if not rows.isEmpty():
+            parts.append(kind(index, rows, bits))
+    documents = reduce(DataFrame.unionByName, parts or [_document_words(index, wanted, bits)])
+    if len(parts) > 1:
+        documents = _document_sums(documents, F.col("score"), bits)
+    has = lambda bit: F.col(bits[0]).bitwiseAND(1 << bit) != 0
+    must = sum((F.bit_count(x) for x in bits), F.lit(0)) - has(_SHOULD).cast("int") - has(_MUST_NOT).cast("int")
     accepted = documents.join(demanded, "query_id").filter(
-        (F.col("must") == F.col("demanded"))
-        & (F.col("must_not") == 0)
-        & ((F.col("demanded") > 0) | (F.col("should") > 0))
+        (must == F.col("demanded")) & ~has(_MUST_NOT) & ((F.col("demanded") > 0) | has(_SHOULD))
     )
-    return top_k(accepted.select("query_id", "doc_id", "score"), k)
+    return top_k(accepted.select("query_id", "doc_id", F.round("score", SCORE_DIGITS).alias("score")), k)

@@ -473,3 +473,35 @@ def test_phrases_of_ids_that_repeat(spark, frame):
     assert one == got(cl._shared_phrase_hits(alone, wanted[0]))
     assert [x for x in two if x[1] % 3] == [x for x in one if x[1] % 3]
     assert two == got(cl._shared_phrase_hits(mixed, wanted[1]))
+
+
+def test_words_are_summed_once(spark, index):
+    """Words and their fields don't make groups of their own: numbers are the only keys."""
+    rows = [(1, 0, "must", "term", None, "the star", None), (1, 1, "should", "range", "year", "1999", "2001")]
+    text = plan(cl.search_clauses(spark.createDataFrame(rows, cl.CLAUSE_SCHEMA), index))
+    keys = set(re.findall(r"HashAggregate\(keys=\[([^\]]*)\]", text))
+    assert any("doc_id" in k for k in keys)
+    assert not any(name in k for k in keys if "doc_id" in k for name in ("occur", "field", "clause_id"))
+
+
+@pytest.mark.parametrize("n", [1, 60, 61, 130])
+def test_many_must_clauses(spark, records, index, n):
+    rows = [("must", "term", "plot", "the")] * n + [("should", "term", "plot", "star"), ("must_not", "term", "plot", "war")]
+    tokens = field_tokens(records)
+    hits = run(spark, index, *rows)
+    assert found(hits) == docs_with(records, "plot", lambda t: "the" in t and "war" not in t)
+    doc, score = hits[0]
+    part = lambda w: idf(tokens, "plot", w) * norm(tokens, "plot", doc, tokens["plot"][doc].count(w))
+    assert abs(score - n * part("the") - part("star")) < 1e-5
+    assert run(spark, index, *rows, ("must", "term", "plot", "zzz")) == []
+
+
+def test_patterns_score_once_beside_words(spark, records, index):
+    hits = run(spark, index, ("must", "prefix", "plot", "s"), ("should", "term", "plot", "star"), ("must_not", "range", "year", "1999", "2001"))
+    tokens = field_tokens(records)
+    years = docs_with(records, "year", lambda t: "1999" <= t[0] <= "2001")
+    want = {}
+    for doc, t in tokens["plot"].items():
+        if any(x.startswith("s") for x in t) and doc not in years:
+            want[doc] = 1 + (idf(tokens, "plot", "star") * norm(tokens, "plot", doc, t.count("star")) if "star" in t else 0)
+    same(hits, sorted(((d, round(s, 6)) for d, s in want.items()), key=lambda x: (-x[1], x[0])))

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..storage import materialize
+from ..storage import discard, materialize
 from .common import bitmap, in_bitmap, row_key, spare
 
 SPAN = 3
@@ -46,6 +46,14 @@ def _codes(text: str) -> tuple[np.ndarray, np.ndarray]:
     return codes, _KINDS[np.minimum(codes, len(_KINDS) - 1)]
 
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """``np.unique``, which is slow on arrays as short as most texts' are."""
+    values = np.sort(values)
+    fresh = np.ones(len(values), bool)
+    np.not_equal(values[1:], values[:-1], out=fresh[1:])
+    return values[fresh]
+
+
 def _ends(codes: np.ndarray, kinds: np.ndarray) -> np.ndarray:
     """Where sentences begin and the text ends: behind white space after a sentence's end
     or with a line's end, and behind marks that no white space follows."""
@@ -63,7 +71,7 @@ def _ends(codes: np.ndarray, kinds: np.ndarray) -> np.ndarray:
     if len(marks):
         marks = marks[marks < n - 1]
         ends.append(marks[kinds[marks + 1] & (_MARK | _WHITE) == 0] + 1)
-    return np.unique(np.concatenate(ends).astype(np.int64))
+    return _distinct(np.concatenate(ends).astype(np.int64))
 
 
 def sentences(text: str | None) -> list[str]:
@@ -118,11 +126,12 @@ def _breaks(codes: np.ndarray, kinds: np.ndarray, ends: np.ndarray, words: int)
         for k in range(window):
             np.maximum(most[k : full + k], least, out=most[k : full + k])
         cuts = np.flatnonzero(most == gaps)
-        ends = np.union1d(ends, starts[cuts[(cuts > 0) & (cuts < n)]])
+        ends = _distinct(np.concatenate([ends, starts[cuts[(cuts > 0) & (cuts < n)]]]))
     return ends, np.searchsorted(starts, ends), hashes
 
 
 _TIMES = (0xD1342543DE82EF95, 0xAF251AF3B0F025B5)
+_INVERSES = tuple(pow(times, -1, 1 << 64) for times in _TIMES)
 
 
 @lru_cache(maxsize=4)
@@ -138,7 +147,7 @@ def _sums(hashes: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray
     for k, times in enumerate(_TIMES):
         sums = np.zeros(len(hashes) + 1, np.uint64)
         np.cumsum((_mixed(hashes, times) if k else hashes) * _powers(times, size)[: len(hashes)], out=sums[1:])
-        out[:, k] = _mixed((sums[last] - sums[first]) * _powers(pow(times, -1, 1 << 64), size)[first], 0x94D049BB133111EB)
+        out[:, k] = _mixed((sums[last] - sums[first]) * _powers(_INVERSES[k], size)[first], 0x94D049BB133111EB)
     return out.view(np.int64)
 
 
@@ -160,7 +169,7 @@ def _hashed(text: str, span: int, words: int | None) -> tuple[np.ndarray, np.nda
     # begins within the next window and is up to another one too long.
     to = np.searchsorted(before, before + (words + 3 - 4 * (words // 6)))
     at = np.flatnonzero(to < len(bounds))
-    pairs = np.unique(np.concatenate([of[:, 0] << 32 | of[:, 1], at << 32 | to[at]]))
+    pairs = _distinct(np.concatenate([of[:, 0] << 32 | of[:, 1], at << 32 | to[at]]))
     pairs = np.stack([pairs >> 32, pairs & 0xFFFFFFFF], 1)
     pairs = pairs[before[pairs[:, 0]] < before[pairs[:, 1]]]
     return bounds[pairs], _sums(hashes, before[pairs[:, 0]], before[pairs[:, 1]])
@@ -181,7 +190,7 @@ def _spans(docs: DataFrame, span: int, words: int | None, known=None) -> DataFra
                 continue
             stay = in_bitmap(pair[:, 1], known.value)
             at, pair = np.concatenate(places)[stay], pair[stay]
-            of = batch.iloc[np.repeat(np.arange(len(batch)), [len(x) for x in places])[stay]].reset_index(drop=True)
+            of = batch[["doc_id", "key"]].iloc[np.repeat(np.arange(len(batch)), [len(x) for x in places])[stay]].reset_index(drop=True)
             yield pd.DataFrame({"a": pair[:, 0], "b": pair[:, 1], "doc_id": of["doc_id"], "key": of["key"], "at": at[:, 0], "until": at[:, 1]})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -210,14 +219,17 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, id_col: str = "doc_id", te
     keyed = docs.withColumn(key, row_key(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")))
     texts = keyed.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(key).alias("key"), F.col(f"`{text_col}`").alias("text"))
     often = _spans(texts, span, words).groupBy("b").count().filter("count > 1").select("b")
-    known = docs.sparkSession.sparkContext.broadcast(bitmap(materialize(often, "repeated-hashes"), "b"))
+    often = materialize(often, "repeated-hashes")
+    known = docs.sparkSession.sparkContext.broadcast(bitmap(often, "b"))
     spans = materialize(_spans(texts, span, words, known), "span-places")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "at")
     repeated = spans.groupBy("a", "b").agg(F.count("*").alias("n"), F.min(order).alias("first")).filter("n > 1").drop("n")
-    later = spans.join(materialize(repeated, "repeated-spans"), ["a", "b"]).filter((F.col("key") != F.col("first.key")) | (F.col("at") != F.col("first.at")))
+    repeated = materialize(repeated, "repeated-spans")
+    later = spans.join(repeated, ["a", "b"]).filter((F.col("key") != F.col("first.key")) | (F.col("at") != F.col("first.at")))
     # A document has no more marks than spans.
     found = later.groupBy("key").agg(F.collect_set(F.shiftleft("at", 32) + F.col("until")).alias("marks"))
     found = materialize(found, "span-marks").select(F.col("key").alias(key), F.col("marks").alias(marks))
+    discard(often, spans, repeated)
 
     @F.pandas_udf("text string, total int, gone int")
     def kept(text: pd.Series, marked: pd.Series) -> pd.DataFrame:

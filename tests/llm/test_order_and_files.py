@@ -21,6 +21,7 @@ from teledex.llm.queries import QUERIES
 from teledex.llm.sentence_spans import remove_repeats, sentences
 from teledex.llm.sharding import assign_shards, hilbert_index, write_shards
 from teledex.llm.tokens import encoder
+from teledex.storage import listed, shared_folder
 
 
 def ids_of(file, texts, end):
@@ -292,3 +293,13 @@ def test_repeated_passages_in_other_text(spark):
             assert len(got[i].split()) < len(text.split()) - (20 if i % early < early - 1 else -1)
     # Passages 0 to 3 share words with each other; all first occurrences of the others stay.
     assert all(got[i] == given[i][1] for i in range(4, early)) and got[0] == given[0][1]
+
+
+def test_sentence_spans_leave_no_places_behind(spark):
+    """What a run wrote on the way is gone before the texts are cut."""
+    docs = table(spark, [(i, passage(i % 3, 90), "s0", 1) for i in range(9)])
+    before = set(listed(spark, shared_folder(spark)))
+    cut = remove_repeats(docs, words=50)
+    left = {x.rsplit("-", 1)[0] for x in set(listed(spark, shared_folder(spark))) - before}
+    assert left == {"span-marks"}
+    assert [r.text == passage(r.doc_id % 3, 90) for r in cut.orderBy("doc_id").collect()] == [True] * 3 + [False] * 6

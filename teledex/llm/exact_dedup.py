@@ -70,13 +70,11 @@ def judge_duplicates(
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with their own columns; see ``judge_duplicates``."""
-    hash_, keep, twin = spare(docs, "hash", "keep", "twin")
+    hash_, own = spare(docs, "hash", "own")
     judged = materialize(judge_duplicates(docs, id_col, text_col), "judged")
-    stay = judged.filter("kept").select(F.col("hash").alias(hash_), F.col("doc_id").alias(keep), F.lit(1).alias(twin))
-    hashed = docs.withColumn(hash_, content_hash(normalised(F.col(text_col))))
-    rows = hashed.alias("d").join(
-        stay.alias("k"),
-        (F.col(f"d.{hash_}") == F.col(f"k.{hash_}")) & F.col(f"d.`{id_col}`").eqNullSafe(F.col(f"k.{keep}")),
-        "left_semi",
-    )
-    return rows.dropDuplicates([hash_, id_col]).select(*[f"`{c}`" for c in docs.columns])
+    # A struct of the id is never null itself: one plain key for both steps, which then move
+    # the texts once.
+    stay = judged.filter("kept").select(F.col("hash").alias(hash_), F.struct(F.col("doc_id").alias("id")).alias(own))
+    hashed = docs.withColumns({hash_: content_hash(normalised(F.col(text_col))), own: F.struct(F.col(f"`{id_col}`").alias("id"))})
+    rows = hashed.join(stay, [hash_, own], "left_semi")
+    return rows.dropDuplicates([hash_, own]).select(*[f"`{c}`" for c in docs.columns])

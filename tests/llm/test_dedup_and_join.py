@@ -162,3 +162,17 @@ def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(60)] + [(200, 200 + i) for i in range(1, 40)] + [(305, 301), (301, 303), (7, 7)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert got == {**{i: 0 for i in range(1, 61)}, **{200 + i: 200 for i in range(1, 40)}, 305: 301, 303: 301}
+
+
+def test_exact_dedup_moves_texts_once(spark):
+    """The rows that stay and, of equal ones, one are found in the same place."""
+    given = [(1, "a b"), (1, "a  b"), (2, "a b"), (None, "c"), (None, "c"), (3, None), (4, "")]
+    docs = table(spark, [(i, t, "s0", 1) for i, t in given])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = exact_dedup(docs)
+        assert kept._jdf.queryExecution().executedPlan().toString().count("hashpartitioning") == 2  # texts, ids
+        assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect()) == [(False, 1), (False, 3), (True, 0)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -133,10 +133,12 @@ def mix(
     drawn = drawn.agg(F.min("times").alias("low"), F.max("times").alias("high"), F.sum("times").alias("all"), F.count("*").alias("rows"))
     drawn = materialize(drawn.filter("high > 1").selectExpr("group", "key", "low", "high", "all - rows * low AS extra"), "mix-times")
     columns = F.struct(*[f"`{c}`" for c in docs.columns]).alias("row")
-    rows = sized.select(columns, F.col(group).alias("group"), key.alias("key")).join(drawn, ["group", "key"], "left")
-    alike = rows.filter("low IS NULL OR low = high").select("row", F.coalesce("high", F.lit(1)).alias("times"))
+    texts = sized.select(columns, F.col(group).alias("group"), key.alias("key"))
+    alike = texts.join(drawn, ["group", "key"], "left").filter("low IS NULL OR low = high").select("row", F.coalesce("high", F.lit(1)).alias("times"))
     # The others, one name a source at most, are numbered: so many of them come once more.
-    split = materialize(rows.filter("low < high"), "mix-split")
+    # Their names are written first: so few need not move the texts.
+    ends = materialize(drawn.filter("low < high"), "mix-ends")
+    split = materialize(texts.join(ends, ["group", "key"]), "mix-split")
     numbered = in_order(split, ["group", "key"], "mix-numbers")
     starts = numbered.groupBy("group", "key").agg(F.min("position").alias("start"))
     numbered = numbered.join(starts, ["group", "key"])

@@ -505,3 +505,22 @@ def test_patterns_score_once_beside_words(spark, records, index):
         if any(x.startswith("s") for x in t) and doc not in years:
             want[doc] = 1 + (idf(tokens, "plot", "star") * norm(tokens, "plot", doc, t.count("star")) if "star" in t else 0)
     same(hits, sorted(((d, round(s, 6)) for d, s in want.items()), key=lambda x: (-x[1], x[0])))
+
+
+def test_a_search_over_some_fields_reads_no_others(spark, records, index, tmp_path):
+    # Folders of fields, so that files of one can be spoiled; pruning at run time is off.
+    path = str(tmp_path / "by-field")
+    index.postings.write.partitionBy("field").parquet(path)
+    apart = se.SearchIndex(spark.read.parquet(path), index.terms, index.fields)
+    for file in (tmp_path / "by-field" / "field=plot").glob("*.parquet"):
+        (file.parent / f".{file.name}.crc").unlink(missing_ok=True)
+        file.write_bytes(b"spoiled")
+    queries = spark.createDataFrame([(1, "1999 2008"), (2, "Ended 3")], "query_id bigint, text string")
+    name = "spark.sql.optimizer.dynamicPartitionPruning.enabled"
+    spark.conf.set(name, False)
+    try:
+        got = {(r.query_id, r.doc_id, r.score) for r in se.search(queries, apart, fields=ix.EXACT_FIELDS).collect()}
+        assert not se.score_documents(queries, apart, fields=ix.EXACT_FIELDS).isEmpty()
+    finally:
+        spark.conf.unset(name)
+    assert got == {(r.query_id, r.doc_id, r.score) for r in se.search(queries, index, fields=ix.EXACT_FIELDS).collect()} != set()

@@ -27,6 +27,7 @@ def _types(s: np.ndarray) -> np.ndarray:
 def _induce_bytes(s: np.ndarray, small: np.ndarray, lms: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """All suffixes induced from the LMS ones in the given order; bucket by bucket."""
     letters = len(sizes)
+    s = s.astype(np.int16)  # numpy's stable sort of short integers is linear
     seeds: list[np.ndarray] = [np.zeros(0, np.int64)] * letters
     order = np.argsort(s[lms], kind="stable")
     for chunk in np.split(lms[order], np.flatnonzero(np.diff(s[lms[order]])) + 1) if len(lms) else []:

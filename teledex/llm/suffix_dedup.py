@@ -9,7 +9,9 @@ induced sorting, and permuted common prefixes of LENGTH or more mark repeated pl
 
 Equal strings hold their anchor at the same distance. Places are put in zones of near
 distances, all strings of which hold the same core of a segment; zones whose core no other
-segment of the anchor has can't be repeated, and stay out of the arrays.
+segment of the anchor has can't be repeated, and stay out of the arrays. In the arrays a
+core is three letters that number it: strings of a zone are equal if and only if they are
+so with their cores written that way, and some 200 bytes a zone become some 50 letters.
 """
 
 from __future__ import annotations
@@ -19,11 +21,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..storage import materialize
-from .common import bitmap, in_bitmap, row_key
+from .common import bitmap, filled, in_bitmap, row_key
 from .suffix_arrays import permuted_lcp, suffix_array
 
 LENGTH, GRAM = 200, 32
@@ -35,6 +37,10 @@ SHARD_BYTES, MANY_SEGMENTS = 2 << 20, 2000
 
 _BASE = 0x9E3779B97F4A7C15
 _CHUNK = 1 << 22
+#: Bytes of texts whose anchors are found together.
+_BLOCK = 1 << 16
+#: Letters that number a core.
+_DIGITS = 3
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -61,16 +67,32 @@ def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _anchored(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Runs of starting places with one anchor: hash, first place, count, distance of the
-    anchor from the first place. Long texts are worked on in pieces that overlap by a string
-    less one byte."""
-    parts = [_anchors(data[i : i + _CHUNK + LENGTH - 1], i) for i in range(0, max(1, len(data) - LENGTH + 1), _CHUNK)]
+    anchor from the first place."""
+    return _anchored_texts([data])[1:]
+
+
+def _anchored_texts(texts: list[bytes]) -> tuple[np.ndarray, ...]:
+    """The same for many texts, with the text's number before. Short texts are worked on
+    together, long ones in pieces that overlap by a string less one byte."""
+    parts: list[tuple[np.ndarray, ...]] = [(np.zeros(0, np.int64),) * 5]
+    block: list[tuple[int, int, bytes]] = []
+    size = 0
+    for number, data in enumerate(texts):
+        for i in range(0, len(data) - LENGTH + 1, _CHUNK):
+            block.append((number, i, data[i : i + _CHUNK + LENGTH - 1]))
+            size += len(block[-1][2])
+            if size >= _BLOCK:
+                parts.append(_anchors(block))
+                block, size = [], 0
+    if block:
+        parts.append(_anchors(block))
     return tuple(np.concatenate(x) for x in zip(*parts))
 
 
-def _anchors(data: bytes, offset: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _anchors(pieces: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, ...]:
+    """Runs of pieces: (text's number, place in it, at least LENGTH bytes)."""
+    data = b"".join(x for _, _, x in pieces)
     n = len(data)
-    if n < LENGTH:
-        return (np.zeros(0, np.int64),) * 4
     up, down = _power_tables(n)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((np.frombuffer(data, np.uint8).astype(np.uint64) + np.uint64(1)) * down, dtype=np.uint64)])
     grams = (sums[GRAM:] - sums[:-GRAM]) * up[: n - GRAM + 1]
@@ -87,14 +109,20 @@ def _anchors(data: bytes, offset: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
     behind = np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1].ravel()
     places = n - LENGTH + 1
     least = np.minimum(behind[:places], ahead[width - 1 : width - 1 + places]) & np.uint64((1 << 24) - 1)
-    first = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
+    # Runs end with their piece; strings that reach into the next one are none.
+    ends = np.cumsum([len(x) for _, _, x in pieces])
+    starts = np.concatenate([[0], ends[:-1]])
+    fresh = np.concatenate([[True], least[1:] != least[:-1]])
+    fresh[starts] = True
+    fresh[ends[:-1] - LENGTH + 1] = True
+    first = np.flatnonzero(fresh)
     count = np.diff(np.append(first, places))
+    piece = np.searchsorted(starts, first, "right") - 1
+    whole = first + LENGTH <= ends[piece]
+    first, count, piece = first[whole], count[whole], piece[whole]
     place = least[first].astype(np.int64)
-    return grams[place].view(np.int64), first + offset, count, place - first
-
-
-def _bytes_of(text: str | None) -> bytes:
-    return (text or "").encode("utf-8", "surrogatepass")
+    number, offset = (np.array([x[i] for x in pieces], np.int64) for i in (0, 1))
+    return number[piece], grams[place].view(np.int64), first - starts[piece] + offset[piece], count, place - first
 
 
 def _repeated_anchors(texts: DataFrame) -> DataFrame:
@@ -102,18 +130,17 @@ def _repeated_anchors(texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            hashes = [anchors(_bytes_of(x))[0] for x in batch["text"]]
-            values, counts = np.unique(np.concatenate(hashes), return_counts=True) if hashes else (np.zeros(0, np.int64),) * 2
+            values, counts = np.unique(_anchored_texts(batch["text"].tolist())[1], return_counts=True)
             yield pd.DataFrame({"anchor": values, "n": counts})
 
     counted = texts.select("text").mapInPandas(run, "anchor bigint, n bigint")
     return materialize(counted.groupBy("anchor").agg(F.sum("n").alias("n")).filter("n > 1").select("anchor"), "anchors")
 
 
-def _candidates(data: bytes, filter_: np.ndarray):
-    """(anchor, first place, count, distance) of a text's runs that may be repeated."""
-    found = _anchored(data)
-    kept = in_bitmap(found[0], filter_)
+def _candidates(texts: list[bytes], filter_: np.ndarray):
+    """(text's number, anchor, first place, count, distance) of the runs that may be repeated."""
+    found = _anchored_texts(texts)
+    kept = in_bitmap(found[1], filter_)
     return zip(*(x[kept].tolist() for x in found))
 
 
@@ -128,11 +155,10 @@ def _segments(texts: DataFrame, shared) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found: dict[tuple[int, bytes, int], int] = {}
-            for text in batch["text"]:
-                data = _bytes_of(text)
-                for anchor, first, count, at in _candidates(data, shared.value):
-                    own = (anchor, data[first : first + count + LENGTH - 1], at)
-                    found[own] = found.get(own, 0) + 1
+            texts_ = batch["text"].tolist()
+            for number, anchor, first, count, at in _candidates(texts_, shared.value):
+                own = (anchor, texts_[number][first : first + count + LENGTH - 1], at)
+                found[own] = found.get(own, 0) + 1
             names = [_segment_name(a, d) for a, d, _ in found]
             yield pd.DataFrame({"anchor": [a for a, _, _ in found], "name": names, "data": [d for _, d, _ in found], "at": [at for _, _, at in found], "n": list(found.values())})
 
@@ -150,39 +176,76 @@ def _zones(size: int, at: int) -> Iterator[tuple[int, int, int, int, int]]:
             yield far, low, high, at - far, at - last + LENGTH
 
 
-def shared_parts(anchors_: list[int], segments: list[bytes], at: list[int]) -> list[tuple[int, int, int]]:
-    """(segment, first place, last place) of all places whose zone has a core that another
-    segment of the same anchor has too; neighbouring zones are one part."""
+def _shared_zones(anchors_: list[int], segments: list[bytes], at: list[int]) -> list[tuple[int, int, int, int, int, int]]:
+    """(segment, first place, last place, number of the core, the core's ends) of all zones
+    whose core another segment of the same anchor has too, in the order of places."""
     cores: dict[tuple[int, int, bytes], int] = {}
-    zones = [[(low, high, (anchor, far, data[a:b])) for far, low, high, a, b in _zones(len(data), x)] for anchor, data, x in zip(anchors_, segments, at)]
+    zones = [[(low, high, a, b, (anchor, far, data[a:b])) for far, low, high, a, b in _zones(len(data), x)] for anchor, data, x in zip(anchors_, segments, at)]
     for own in zones:
-        for _, _, core in own:
+        for *_, core in own:
             cores[core] = cores.get(core, 0) + 1
+    numbers = {core: i for i, core in enumerate(x for x, n in cores.items() if n > 1)}
+    # From the first place on.
+    return [(i, low, high, numbers[core], a, b) for i, own in enumerate(zones) for low, high, a, b, core in reversed(own) if core in numbers]
+
+
+def shared_parts(anchors_: list[int], segments: list[bytes], at: list[int]) -> list[tuple[int, int, int]]:
+    """(segment, first place, last place) of all places whose zone has a core that another
+    segment of the same anchor has too; neighbouring zones are one part."""
     out: list[tuple[int, int, int]] = []
-    for i, own in enumerate(zones):
-        for low, high, core in reversed(own):  # from the first place on
-            if cores[core] > 1:
-                if out and out[-1][0] == i and out[-1][2] == low - 1:
-                    out[-1] = (i, out[-1][1], high)
-                else:
-                    out.append((i, low, high))
+    for i, low, high, *_ in _shared_zones(anchors_, segments, at):
+        if out and out[-1][0] == i and out[-1][2] == low - 1:
+            out[-1] = (i, out[-1][1], high)
+        else:
+            out.append((i, low, high))
     return out
 
 
+def _neighbours_share(text: np.ndarray) -> np.ndarray:
+    """By place, the longest prefix that its suffix shares with any other."""
+    sa = suffix_array(text)
+    common = permuted_lcp(text, sa)[sa]
+    longest = np.empty(len(text), np.int64)
+    longest[sa] = np.maximum(common, np.append(common[1:], 0))
+    return longest
+
+
+def _letters(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """A text of all parts, 2 added to their bytes, with 1 after each and 0 at the end, and
+    where they start."""
+    text = np.frombuffer(b"\0".join([*parts, b""]) + b"\0", np.uint8).astype(np.int64) + 2
+    sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+    starts = np.cumsum(sizes + 1) - sizes - 1
+    text[starts + sizes] = 1
+    text[-1] = 0
+    return text, starts
+
+
 def mark_repeats(segments: list[bytes], length: int = LENGTH) -> list[np.ndarray]:
     """Per segment, whether the string at each place of it starts anywhere else in them."""
-    sizes = np.fromiter(map(len, segments), np.int64, len(segments))
-    text = np.zeros(int(sizes.sum()) + len(segments) + 1, np.int64)
-    starts = np.cumsum(sizes + 1) - sizes - 1
-    text[:-1] = 1  # between segments
-    for start, data in zip(starts, segments):
-        text[start : start + len(data)] = np.frombuffer(data, np.uint8).astype(np.int64) + 2
-    sa = suffix_array(text)
-    common = permuted_lcp(text, sa)[sa] >= length
-    repeated = np.zeros(len(text), bool)
-    repeated[sa[common]] = True
-    repeated[sa[np.flatnonzero(common) - 1]] = True
-    return [repeated[a : a + n - length + 1] for a, n in zip(starts, sizes)]
+    text, starts = _letters(segments)
+    repeated = _neighbours_share(text) >= length
+    return [repeated[a : a + len(x) - length + 1] for a, x in zip(starts, segments)]
+
+
+def zone_repeats(anchors_: list[int], segments: list[bytes], at: list[int]) -> list[tuple[int, int, np.ndarray]]:
+    """(segment, first place, whether the string at each place from there on is repeated) of
+    all zones with a shared core; at other places no string is."""
+    zones = _shared_zones(anchors_, segments, at)
+    if not zones:
+        return []
+    blank = b"\0" * _DIGITS
+    text, starts = _letters([segments[i][low:a] + blank + segments[i][b : high + LENGTH] for i, low, high, _, a, b in zones])
+    number = np.array([x[3] for x in zones], np.int64)
+    core = starts + np.array([a - low for _, low, _, _, a, _ in zones], np.int64)
+    base = 2
+    while base**_DIGITS <= len(zones):
+        base += 1
+    for digit in range(_DIGITS):
+        text[core + digit] = 258 + number // base**digit % base
+    shared = _neighbours_share(text)
+    # A string lacks the bytes of its core and has the letters of it.
+    return [(i, low, shared[x : x + high - low + 1] >= LENGTH - (b - a) + _DIGITS) for x, (i, low, high, _, a, b) in zip(starts, zones)]
 
 
 def _ranges(marks: np.ndarray) -> list[tuple[int, int]]:
@@ -206,11 +269,9 @@ def _repeated_places(segments: DataFrame) -> DataFrame:
 
     def sort(group: pd.DataFrame) -> pd.DataFrame:
         data = [bytes(x) for x in group["data"]]
-        parts = shared_parts(group["anchor"].tolist(), data, group["at"].tolist())
-        marks = mark_repeats([data[i][low : high + LENGTH] for i, low, high in parts])
         names, n, found = group["name"].tolist(), group["n"].tolist(), {}
-        for (i, low, _), own in zip(parts, marks):
-            if n[i] == 1:
+        for i, low, own in zone_repeats(group["anchor"].tolist(), data, group["at"].tolist()):
+            if n[i] == 1 and own.any():
                 found.setdefault(i, []).extend((a + low, b + low) for a, b in _ranges(own))
         rows = [(names[i], ranges) for i, ranges in found.items() if ranges]
         return pd.DataFrame(rows, columns=["name", "ranges"])
@@ -220,14 +281,16 @@ def _repeated_places(segments: DataFrame) -> DataFrame:
 
     def strings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for name, data in zip(batch["name"], batch["data"]):
-                places = range(len(data) - LENGTH + 1)
-                yield pd.DataFrame({"string": [xxhash.xxh3_128_digest(data[i : i + LENGTH]) for i in places], "name": name, "place": places})
+            for few in range(0, len(batch), 100):  # segments, of some 170 strings at most
+                names, found = batch["name"].tolist()[few : few + 100], batch["data"].tolist()[few : few + 100]
+                counts = [len(x) - LENGTH + 1 for x in found]
+                hashes = [xxhash.xxh3_128_digest(x[i : i + LENGTH]) for x, n in zip(found, counts) for i in range(n)]
+                yield pd.DataFrame({"string": hashes, "name": [x for x, n in zip(names, counts) for _ in range(n)], "place": [i for n in counts for i in range(n)]})
 
     many = open_.filter(F.col("variants") > MANY_SEGMENTS).select("name", "data").mapInPandas(strings, "string binary, name binary, place int")
-    many = materialize(many, "strings")
-    twice = many.groupBy("string").agg(F.count("*").alias("n")).filter("n > 1").select("string")
-    places = many.join(twice, "string", "left_semi").groupBy("name").agg(F.collect_set(F.struct(F.col("place").alias("low"), (F.col("place") + 1).alias("high"))).alias("ranges"))
+    # Counted beside each row: strings move once, and none meets another.
+    many = many.withColumn("n", F.count("*").over(Window.partitionBy("string"))).filter("n > 1")
+    places = many.groupBy("name").agg(F.collect_set(F.struct(F.col("place").alias("low"), (F.col("place") + 1).alias("high"))).alias("ranges"))
     return materialize(whole.unionByName(sorted_).unionByName(places), "repeated-places")
 
 
@@ -239,7 +302,8 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     counts as empty, shorter texts stay whole. Repeated rows repeat each other, so they
     lose all they can. Other columns are ignored; an empty table gives an empty result.
     """
-    columns = [F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")]
+    text = filled(F.col(f"`{text_col}`")).cast("binary").alias("text")
+    columns = [F.col(f"`{id_col}`").alias("doc_id"), text]
     keyed = docs.select(*columns, row_key(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).alias("key"))
     shared = docs.sparkSession.sparkContext.broadcast(bitmap(_repeated_anchors(keyed), "anchor"))
     repeated = _repeated_places(_segments(keyed, shared))
@@ -247,19 +311,17 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     def occurrences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             names, keys, places = [], [], []
-            for key, text in zip(batch["key"], batch["text"]):
-                data = _bytes_of(text)
-                for anchor, first, count, _ in _candidates(data, shared.value):
-                    names.append(_segment_name(anchor, data[first : first + count + LENGTH - 1]))
-                    keys.append(key)
-                    places.append(first)
+            known, texts = batch["key"].tolist(), batch["text"].tolist()
+            for number, anchor, first, count, _ in _candidates(texts, shared.value):
+                names.append(_segment_name(anchor, texts[number][first : first + count + LENGTH - 1]))
+                keys.append(known[number])
+                places.append(first)
             yield pd.DataFrame({"name": names, "key": keys, "first": places})
 
     @F.pandas_udf("n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
     def cut(text: pd.Series, found: pd.Series) -> pd.DataFrame:
         rows = []
-        for own, runs in zip(text, found):
-            data = _bytes_of(own)
+        for data, runs in zip(text, found):
             if runs is None:
                 rows.append((len(data), 0, 0, data))
                 continue

@@ -59,6 +59,45 @@ def test_places_left_out_of_arrays_are_not_repeated():
     assert all((a == b).all() for a, b in zip(got, suffix_dedup.mark_repeats(data)))
 
 
+@pytest.mark.parametrize("letters", [b"abcdefgh ", b"ab"])
+def test_arrays_hold_cores_as_letters(letters, monkeypatch):
+    rng = random.Random(7)
+    base = bytes(rng.choice(letters) for _ in range(2500))
+    texts = [base, b"a" * 700, b"ab" * 300]
+    for _ in range(15):
+        own = bytearray(base[rng.randrange(900) : 1400 + rng.randrange(1100)])
+        for i in range(rng.randrange(150, 400), len(own), rng.randrange(205, 500)):
+            own[i] = ord("#")
+        texts.append(bytes(own))
+    rows_ = sorted({(a, t[f : f + n + LENGTH - 1], at) for t in texts for a, f, n, at in zip(*(x.tolist() for x in suffix_dedup._anchored(t)))})
+    keys, data, at = map(list, zip(*rows_))
+    sizes, sort = [], suffix_dedup.suffix_array
+    monkeypatch.setattr(suffix_dedup, "suffix_array", lambda s: (sizes.append(len(s)), sort(s))[1])
+    want = suffix_dedup.mark_repeats(data)
+    parts = suffix_dedup.shared_parts(keys, data, at)
+    suffix_dedup.mark_repeats([data[i][a : b + LENGTH] for i, a, b in parts])
+    got = [np.zeros(len(d) - LENGTH + 1, bool) for d in data]
+    for i, low, marks in suffix_dedup.zone_repeats(keys, data, at):
+        got[i][low : low + len(marks)] = marks
+    assert sum(x.sum() for x in want) > 0 and all((a == b).all() for a, b in zip(got, want))
+    assert sizes[2] < 0.8 * sizes[1]  # letters in the arrays: with cores folded, and without
+    assert suffix_dedup.zone_repeats([], [], []) == []
+
+
+def test_anchors_of_texts_found_together(monkeypatch):
+    rng = random.Random(9)
+    texts = [bytes(rng.choice(b"abcd") for _ in range(n)) for n in (0, 199, 200, 201, 5000, 30, 1000, 200, 0)] + [b"a" * 600] * 2
+    alone = [suffix_dedup._anchored(t) for t in texts]
+    for block, chunk in ((1, 1 << 22), (1500, 1 << 22), (1 << 16, 1 << 22), (1 << 16, 700)):
+        monkeypatch.setattr(suffix_dedup, "_BLOCK", block)
+        monkeypatch.setattr(suffix_dedup, "_CHUNK", chunk)
+        number, *found = suffix_dedup._anchored_texts(texts)
+        for i, own in enumerate(alone):
+            spread = [np.repeat(h, c) for h, c in ((own[0], own[2]), (found[0][number == i], found[2][number == i]))]
+            assert spread[0].tolist() == spread[1].tolist()  # a piece may split a run
+    assert len(suffix_dedup._anchored_texts([])[0]) == len(suffix_dedup._anchored_texts([b"x"])[0]) == 0
+
+
 def brute_cut(texts):
     data = [(t or "").encode() for t in texts]
     seen = Counter(d[i : i + LENGTH] for d in data for i in range(len(d) - LENGTH + 1))

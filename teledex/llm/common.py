@@ -64,7 +64,8 @@ def bitmap(values: DataFrame, column: str) -> np.ndarray:
     """A filter with a bit for each value of a written table's bigint column (one of the
     hashed low bits). Its size is bounded; a fuller one finds values that aren't there
     more often, and misses none. Tasks pack blocks of bits, so the driver only lays blocks
-    of some kilobytes side by side."""
+    of some kilobytes side by side: 64 MB at most, fetched by one job. (An iterator over
+    partitions would run a job for each, one after the other.)"""
     wanted = 1 << max(1, 16 * values.count()).bit_length()
     bits = min(max(wanted, BITMAP_BITS[0]), BITMAP_BITS[1])
     place = F.col(column).bitwiseAND(F.lit(bits - 1))
@@ -82,7 +83,7 @@ def bitmap(values: DataFrame, column: str) -> np.ndarray:
 
     out = np.zeros(bits // 32, np.uint32)
     size = BLOCK_BITS // 32
-    for row in blocks.mapInArrow(pack, "block bigint, bits binary").toLocalIterator():
+    for row in blocks.mapInArrow(pack, "block bigint, bits binary").collect():
         out[row.block * size : (row.block + 1) * size] = np.frombuffer(row.bits, np.uint32)
     return out
 

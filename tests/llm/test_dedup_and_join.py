@@ -6,9 +6,11 @@ import re
 from collections import defaultdict
 
 import duckdb
+import numpy as np
 from cases import passage, rows, table
 from pyspark.sql import functions as F
 
+from teledex.llm.common import bitmap, in_bitmap
 from teledex.llm.components import components
 from teledex.llm.exact_dedup import exact_dedup, judge_duplicates
 from teledex.llm.ngram_join import near_dedup, near_groups
@@ -176,3 +178,23 @@ def test_exact_dedup_moves_texts_once(spark):
         assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect()) == [(False, 1), (False, 3), (True, 0)]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_bitmap_is_fetched_by_few_jobs_whatever_the_partitions(spark):
+    values = spark.range(0, 70_000, 7).select((F.col("id") * 1_000_003).alias("x"))
+    names = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name, None) for name in names}
+    try:
+        for name, value in names.items():
+            spark.conf.set(name, value)
+        spark.sparkContext.setJobGroup("bitmap", "bitmap")
+        known = bitmap(values, "x")
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("bitmap")
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    assert 0 < len(jobs) <= 8  # an iterator over partitions ran a job for each
+    assert in_bitmap(np.arange(0, 70_000, 7) * 1_000_003, known).all()
+    places = np.unique(np.arange(0, 70_000, 7) * 1_000_003 & (len(known) * 32 - 1))
+    assert np.bitwise_count(known).sum() == len(places)

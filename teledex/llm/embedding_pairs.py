@@ -3,7 +3,8 @@
 A vector is described by its nearest reference points (pivots), nearest first. The index
 is a table of inverted lists, one for each combination of SHARED pivots among a vector's
 first NEAREST; vectors that share at least so many pivots meet in a list. Members of a
-list are compared in blocks, by exact cosine. Equal vectors are one entry.
+list are compared in blocks, by exact cosine; a pair that meets in several lists is given
+by the first of them. Equal vectors are one entry.
 """
 
 from __future__ import annotations
@@ -13,19 +14,23 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..storage import materialize
 from .components import components
 
-#: Pivots, and of these how many describe a vector and how many must be shared. Pivots are
+#: Pivots at least, and of these how many describe a vector and how many must be shared. Pivots are
 #: picked from a bounded sample of SAMPLE vectors, taken by hash, none within APART of
 #: another: several in one dense group would order its members by chance.
 PIVOTS, NEAREST, SHARED = 256, 6, 3
 SAMPLE, APART = 4096, 0.8
-#: Members of a list that are compared at once.
-BLOCK = 128
+#: Pivots grow with tables of more than so many vectors, up to so many pivots: with more,
+#: fewer of the vectors at the threshold share enough of them.
+FEW_VECTORS, MOST_PIVOTS = 200_000, 768
+#: Members of a list that are compared at once, and blocks of them a task holds.
+BLOCK, BLOCKS_AT_ONCE = 128, 32
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -51,46 +56,94 @@ def permutation_prefix(vectors: np.ndarray, pivots: np.ndarray, nearest: int = N
     return np.argsort(-(_unit(vectors) @ pivots.T), axis=1, kind="stable")[:, :nearest]
 
 
-def _lists(entries: DataFrame, pivots: np.ndarray, nearest: int, shared: int) -> DataFrame:
-    """Inverted lists as rows: list (of ``shared`` pivots), c, vector."""
+def pivots_for(vectors: int, least: int = PIVOTS) -> int:
+    """How many pivots a table of so many vectors gets, so that its lists stay about as long
+    as at FEW_VECTORS. Lists follow the cube of the pivots (three are shared), but near
+    pivots are shared more often than others, hence more than the cube root."""
+    return max(least, min(MOST_PIVOTS, round(least * (vectors / FEW_VECTORS) ** 0.4)))
+
+
+def _names(order: np.ndarray, pivots: int) -> np.ndarray:
+    """The number of the list that each row of ascending pivots names."""
+    names = np.zeros(len(order), np.int64)
+    for j in range(order.shape[1]):
+        names = names * pivots + order[:, j]
+    return names
+
+
+def _described(entries: DataFrame, pivots: np.ndarray, nearest: int, shared: int) -> DataFrame:
+    """(c, vector, near, lists), written: a vector's nearest pivots in ascending order, and
+    its lists, one for each ``shared`` of them."""
     known = entries.sparkSession.sparkContext.broadcast(pivots)
-    chosen = list(combinations(range(min(nearest, len(pivots))), min(shared, len(pivots))))
+    chosen = list(combinations(range(min(nearest, len(pivots))), shared))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if not len(batch):
                 continue
             vectors = np.stack(batch["embedding"].to_numpy()).astype(np.float64)
-            order = np.sort(permutation_prefix(vectors, known.value, nearest), axis=1).astype(np.int64)
-            names = np.zeros((len(batch), len(chosen)), np.int64)
-            for i, picked in enumerate(chosen):
-                for j in picked:
-                    names[:, i] = names[:, i] * len(known.value) + order[:, j]
-            yield pd.DataFrame({"list": names.ravel(), "c": np.repeat(batch["c"].to_numpy(), len(chosen)), "vector": np.repeat([v.tobytes() for v in vectors], len(chosen))})
+            order = np.sort(permutation_prefix(vectors, known.value, nearest), axis=1).astype(np.int32)
+            names = np.stack([_names(order[:, picked], len(known.value)) for picked in chosen], axis=1)
+            yield pd.DataFrame({"c": batch["c"], "vector": [v.tobytes() for v in vectors], "near": [o.tobytes() for o in order], "lists": list(names)})
 
-    return entries.select("c", "embedding").mapInPandas(run, "list bigint, c bigint, vector binary")
+    found = entries.select("c", "embedding").mapInPandas(run, "c bigint, vector binary, near binary, lists array<bigint>")
+    return materialize(found, "described-vectors")
 
 
-def _compared(lists: DataFrame, cosine: float) -> DataFrame:
-    """Linked pairs (a, b) among the members of each list, block by block."""
-    sizes = lists.groupBy("list").agg(F.count("*").alias("size")).filter("size > 1")
-    dealt = lists.join(sizes, "list").withColumn("block", F.pmod(F.xxhash64("c"), F.ceil(F.col("size") / BLOCK)))
-    # About BLOCK members a block, whatever the list's size.
-    blocks = dealt.groupBy("list", "block").agg(F.collect_list(F.struct("c", "vector")).alias("m"))
-    blocks = materialize(blocks.select("list", "block", F.col("m.c").alias("c"), F.col("m.vector").alias("vectors")), "vector-blocks")
+def first_shared(a: np.ndarray, b: np.ndarray, shared: int, pivots: int) -> np.ndarray:
+    """Per pair of rows of ascending pivots, the list of the first they share (``shared``
+    at least): the one of a pair's lists that gives the pair."""
+    both = (a[:, :, None] == b[:, None, :]).any(axis=2)
+    both &= np.cumsum(both, axis=1) <= shared
+    return _names(a[both].reshape(len(a), shared), pivots)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def _rows(members: pa.ListArray, field: str, like: type) -> np.ndarray:
+    """A binary field of all members of all blocks, a row a member."""
+    flat = members.flatten().field(field)
+    return np.frombuffer(b"".join(flat.to_pylist()), like).reshape(len(flat), -1)
+
+
+def _compared(described: DataFrame, cosine: float, shared: int, pivots: int) -> DataFrame:
+    """Linked pairs (a, b), a < b, each once: members of a list are compared block by block,
+    and a pair that meets in several lists comes from the first of them."""
+    sizes = described.select(F.explode("lists").alias("list")).groupBy("list").agg(F.count("*").alias("size")).filter("size > 1")
+    listed = described.select(F.explode("lists").alias("list"), "c", "near", "vector")
+    dealt = listed.join(sizes, "list").withColumn("blocks", F.ceil(F.col("size") / BLOCK)).withColumn("block", F.pmod(F.xxhash64("c"), "blocks"))
+    # About BLOCK members a block, whatever the list's size.
+    blocks = dealt.groupBy("list", "block").agg(F.first("blocks").alias("blocks"), F.collect_list(F.struct("c", "near", "vector")).alias("m"))
+    blocks = materialize(blocks, "vector-blocks")
+
+    def linked(lists: np.ndarray, left: pa.ListArray, right: pa.ListArray | None = None) -> pa.RecordBatch:
+        """Links between the members of two blocks a row, or within one."""
+        sides = []
+        for members in (left,) if right is None else (left, right):
+            ends = np.concatenate([[0], np.cumsum(members.value_lengths().to_numpy())])
+            c = members.flatten().field("c").to_numpy()
+            sides.append((ends, c, _rows(members, "near", np.int32), _unit(_rows(members, "vector", np.float64))))
+        (at, c1, near1, unit1), (to, c2, near2, unit2) = sides[0], sides[-1]
+        found = [(np.zeros(0, np.int64),) * 3]
+        for row in range(len(lists)):
+            i, j = np.nonzero(unit1[at[row] : at[row + 1]] @ unit2[to[row] : to[row + 1]].T >= cosine)
+            if right is None:
+                i, j = i[i < j], j[i < j]
+            if len(i):
+                found.append((np.full(len(i), row), i + at[row], j + to[row]))
+        row, i, j = (np.concatenate(x) for x in zip(*found))
+        first = first_shared(near1[i], near2[j], shared, pivots) == lists[row]
+        a, b = c1[i[first]], c2[j[first]]
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for x in batch.itertuples(index=False):
-                left, right = (_unit(np.frombuffer(b"".join(v)).reshape(len(v), -1)) for v in (x.vectors1, x.vectors2))
-                i, j = np.nonzero(left @ right.T >= cosine)
-                a, b = np.asarray(x.c1)[i], np.asarray(x.c2)[j]
-                pairs = pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
-                yield pairs[pairs["a"] != pairs["b"]].drop_duplicates()
+            for start in range(0, batch.num_rows, BLOCKS_AT_ONCE):
+                lists, *sides = batch.slice(start, BLOCKS_AT_ONCE).columns
+                yield linked(lists.to_numpy(), *sides)
 
-    left, right = blocks.toDF("list", "block1", "c1", "vectors1"), blocks.toDF("list", "block2", "c2", "vectors2")
-    pairs = left.join(right, "list").filter("block1 <= block2").select("c1", "vectors1", "c2", "vectors2")
-    return materialize(pairs.mapInPandas(run, "a bigint, b bigint").distinct(), "vector-links")
+    split = blocks.filter("blocks > 1").select("list", "block", "m")
+    pairs = split.toDF("list", "block1", "m1").join(split.toDF("list", "block2", "m2"), "list").filter("block1 < block2").select("list", "m1", "m2")
+    inside = blocks.select("list", "m").mapInArrow(run, "a bigint, b bigint")
+    return materialize(inside.unionByName(pairs.mapInArrow(run, "a bigint, b bigint")), "vector-links")
 
 
 def near_vectors(
@@ -99,7 +152,7 @@ def near_vectors(
     """One row per vector: vec_id, n_links, component_id, kept.
 
     Pairs found in the index link if their cosine in double precision reaches the
-    threshold; n_links counts other vectors, copies included. Vectors that are null, zero
+    threshold (``pivots`` are at least so many, more for large tables); n_links counts other vectors, copies included. Vectors that are null, zero
     or empty, or hold null or non-finite components, link with nothing, and vectors of
     unlike lengths don't meet. Repeated rows are vectors of their own. A null id names no
     component that has another. Other columns are ignored; empty tables give empty results.
@@ -114,8 +167,9 @@ def near_vectors(
     for row in entries.groupBy(F.size("embedding").alias("width")).count().collect():  # one row a vector length
         own = entries.filter(F.size("embedding") == row.width)
         sample = own.orderBy(F.xxhash64("embedding"), "c").limit(SAMPLE).collect()
-        points = spread_pivots(np.array([r.embedding for r in sample], np.float64), pivots)
-        found = _compared(_lists(own, points, nearest, shared), cosine)
+        points = spread_pivots(np.array([r.embedding for r in sample], np.float64), pivots_for(row["count"], pivots))
+        common = min(shared, nearest, len(points))
+        found = _compared(_described(own, points, nearest, common), cosine, common, len(points))
         links = found if links is None else links.unionByName(found)
     if links is None:
         links = entries.select(F.col("c").alias("a"), F.col("c").alias("b")).limit(0)

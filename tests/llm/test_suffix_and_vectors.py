@@ -2,12 +2,13 @@
 
 import random
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import numpy as np
 import pytest
 from cases import passage, rows, table
 
-from teledex.llm import suffix_dedup
+from teledex.llm import embedding_pairs, suffix_dedup
 from teledex.llm.embedding_pairs import near_vectors
 from teledex.llm.queries import QUERIES
 from teledex.llm.suffix_arrays import permuted_lcp, suffix_array
@@ -161,3 +162,46 @@ def test_vector_links_on_hard_rows(spark):
     assert all(by[i][0].n_links == 0 and by[i][0].kept for i in range(500, 506))
     assert by[506][0].n_links == by[507][0].n_links == 1 and by[507][0].component_id == 506
     assert near_vectors(df.limit(0)).count() == 0
+
+
+def meetings(n, pivots, rng):
+    """Pairs of random vectors that meet in lists, per vector."""
+    vectors = rng.normal(size=(n, 24))
+    order = np.sort(embedding_pairs.permutation_prefix(vectors, embedding_pairs.spread_pivots(vectors[:4096], pivots)), axis=1)
+    counts = Counter(x for row in order.tolist() for x in combinations(row, 3))
+    return sum(c * (c - 1) // 2 for c in counts.values()) / n
+
+
+def test_lists_stay_short_as_tables_grow(monkeypatch):
+    monkeypatch.setattr(embedding_pairs, "FEW_VECTORS", 2000)
+    rng = np.random.default_rng(4)
+    few, many = (meetings(n, embedding_pairs.pivots_for(n, 64), rng) for n in (2000, 16_000))
+    assert many < 2 * few < 6 * few < meetings(16_000, 64, rng)
+    assert embedding_pairs.pivots_for(2000, 64) == 64 and embedding_pairs.pivots_for(10**12, 64) == embedding_pairs.MOST_PIVOTS
+    assert embedding_pairs.pivots_for(10**6, 1000) == 1000
+
+
+@pytest.mark.parametrize("block", [embedding_pairs.BLOCK, 8])
+def test_a_pair_is_given_once(spark, block, monkeypatch):
+    written = {}
+    keep = embedding_pairs.materialize
+    monkeypatch.setattr(embedding_pairs, "materialize", lambda df, name: written.setdefault(name, keep(df, name)))
+    monkeypatch.setattr(embedding_pairs, "BLOCK", block)
+    rng = np.random.default_rng(6)
+    centres = np.concatenate([np.repeat(rng.normal(size=(25, 16)), 40, axis=0), rng.normal(size=(500, 16))])
+    vectors = centres + rng.normal(size=centres.shape) * 0.12
+    got = near_vectors(spark.createDataFrame([(i, v) for i, v in enumerate(vectors.tolist())], "vec_id bigint, embedding array<double>").repartition(5), pivots=40)
+    near = np.triu(brute_links(vectors), 1)
+    n_links = {r.vec_id: r.n_links for r in got.collect()}
+    assert near.sum() > 5000 and 0.95 * near.sum() <= sum(n_links.values()) / 2 <= near.sum()
+    number = {tuple(r.embedding): r.c for r in written["vectors"].select("embedding", "c").collect()}
+    true = {tuple(sorted((number[tuple(vectors[i])], number[tuple(vectors[j])]))) for i, j in zip(*np.nonzero(near))}
+    links = [tuple(r) for r in written["vector-links"].collect()]
+    assert len(links) == len(set(links)) and set(links) <= true
+    # The same lists, each pair looked up in any that it shares.
+    met = defaultdict(set)
+    for r in written["described-vectors"].collect():
+        for name in r.lists:
+            met[name].add(r.c)
+    meet = {(a, b) for m in met.values() for a in m for b in m if a < b}
+    assert set(links) == true & meet

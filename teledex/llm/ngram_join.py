@@ -49,18 +49,21 @@ _MULTIPLIERS = np.array([2 * int.from_bytes(xxhash.xxh64_digest(f"word {i}"), "b
 
 def _mixed(x: np.ndarray, salt: int) -> np.ndarray:
     """A bijection of 64-bit numbers that leaves no visible order."""
-    x = (x ^ (x >> np.uint64(32))) * _MULTIPLIERS[salt]
-    x = (x ^ (x >> np.uint64(29))) * _MULTIPLIERS[salt + 1]
-    return x ^ (x >> np.uint64(32))
+    x = x ^ (x >> np.uint64(32))  # a copy; the rest is done in place
+    x *= _MULTIPLIERS[salt]
+    x ^= x >> np.uint64(29)
+    x *= _MULTIPLIERS[salt + 1]
+    x ^= x >> np.uint64(32)
+    return x
 
 
 class _Words(dict):
-    """Hashes of words seen by this worker; cleared when it grows large."""
+    """Hashes of words seen by this worker, as bytes; cleared when it grows large."""
 
-    def __missing__(self, word: bytes) -> int:
+    def __missing__(self, word: bytes) -> bytes:
         if len(self) > 200_000:
             self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
+        value = self[word] = xxhash.xxh64_intdigest(word).to_bytes(8, "little")
         return value
 
 
@@ -74,14 +77,15 @@ def shingles(text: str | None, words: int) -> np.ndarray:
     tokens = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not tokens:
         return np.zeros(0, np.uint64)
-    hashes = np.fromiter(map(_words.__getitem__, tokens), np.uint64, len(tokens))
+    hashes = np.frombuffer(b"".join(map(_words.__getitem__, tokens)), "<u8")
     width = min(words, len(tokens))
     total = np.zeros(len(tokens) - width + 1, np.uint64)
     for i in range(width):
         total = _mixed(total + hashes[i : i + len(total)] * _MULTIPLIERS[8 + i % 40], 2)
     if width < words:
         total = _mixed(total + np.uint64(width), 4)  # never equal to a full shingle
-    return np.unique(total)
+    total.sort()
+    return total[np.append(True, total[1:] != total[:-1])]  # np.unique takes ten times as long
 
 
 def prefix_length(size: int, percent: int) -> int:

@@ -2,7 +2,9 @@
 
 Texts are cut at spaces where the tokenizer never joins what stands on either side. Each
 distinct chunk is encoded once per worker (a bounded memory) and the ids are gathered
-with array operations, which gives the same ids as encoding the whole texts.
+with array operations, which gives the same ids as encoding the whole texts. Remembered
+chunks are one Arrow array: a Python string and a dictionary entry for each would take
+several times its memory, in every worker and until it ends.
 
 Where the vocabulary drops white space and case, texts are first cut finer: lines end, and
 a punctuation mark after a letter begins, a chunk. Many fewer chunks are distinct then.
@@ -17,8 +19,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Chunks remembered by a worker, and bytes of text handled at once.
-REMEMBERED, AT_ONCE = 400_000, 4 << 20
+#: Chunks remembered by a worker, bytes of text handled at once, and chunks that the
+#: tokenizer gets in one call.
+REMEMBERED, AT_ONCE, A_CALL = 400_000, 4 << 20, 10_000
 _MARK = "\x01"
 #: Texts left as they are: lowering a letter before a combining mark can change what the
 #: two compose to, and a special token must stay in one piece.
@@ -60,7 +63,7 @@ class ChunkEncoder:
         if self.folded:
             self.tokenize = self.tokenizer.model.tokenize
             self.letters = str.maketrans({x: self.tokenizer.pre_tokenizer.pre_tokenize_str(x)[0][0] for x in _LETTERS})
-        self.known: dict[str, int] = {}
+        self.known = pa.array([], pa.string())
         self.ids = np.zeros(0, np.uint32)
         self.starts = np.zeros(1, np.int64)
 
@@ -69,6 +72,9 @@ class ChunkEncoder:
 
     def _encode_chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all chunks, end to end, and the count of each."""
+        if len(chunks) > A_CALL:
+            parts = [self._encode_chunks(chunks[i : i + A_CALL]) for i in range(0, len(chunks), A_CALL)]
+            return np.concatenate([x for x, _ in parts]), np.concatenate([n for _, n in parts])
         if not self.folded:
             return self._encode_joined(chunks)
         # What normalization would leave as it is goes straight to the model.
@@ -100,17 +106,16 @@ class ChunkEncoder:
         counts = np.fromiter(map(len, lists), np.int64, len(lists))
         return np.fromiter((i for x in lists for i in x), np.uint32, int(counts.sum())), counts
 
-    def _lookup(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _lookup(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids table, and per chunk its start and count in that table."""
-        place = np.fromiter((self.known.get(x, -1) for x in chunks), np.int64, len(chunks))
+        place = pc.fill_null(pc.index_in(chunks, value_set=self.known), -1).to_numpy(zero_copy_only=False).astype(np.int64)
         missing = np.flatnonzero(place < 0)
-        new = [chunks[i] for i in missing]
-        ids, counts = self._encode_chunks(new)
+        new = chunks.take(pa.array(missing))
+        ids, counts = self._encode_chunks(new.to_pylist())
         room = max(0, REMEMBERED - len(self.known))
         if room:
             kept = min(room, len(new))
-            for x in new[:kept]:
-                self.known[x] = len(self.known)
+            self.known = pa.concat_arrays([self.known, new.slice(0, kept)])
             self.ids = np.concatenate([self.ids, ids[: int(counts[:kept].sum())]])
             self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(counts[:kept])])
         table = np.concatenate([self.ids, ids])
@@ -142,18 +147,17 @@ class ChunkEncoder:
         firsts = np.cumsum(lengths) - lengths
         coded = split.flatten().dictionary_encode()
         which = coded.indices.to_numpy(zero_copy_only=False)
-        chunks = coded.dictionary.to_pylist()
+        chunks = coded.dictionary
         whole = np.zeros(len(texts), bool)
         if self.spaced:
             # Runs of spaces belong together, so such texts are encoded whole.
             whole = pc.match_substring(texts, "  ").to_numpy(zero_copy_only=False)
-        odd = [i for i, x in enumerate(chunks) if not x or _MARK in x]
-        plain = [x for x in chunks if x and _MARK not in x]
-        table, start, count = self._lookup(plain)
-        if odd:
+        strange = pc.or_(pc.equal(chunks, ""), pc.match_substring(chunks, _MARK)).to_numpy(zero_copy_only=False)
+        odd, at = np.flatnonzero(strange), np.flatnonzero(~strange)
+        table, start, count = self._lookup(chunks.take(pa.array(at)))
+        if len(odd):
             # Empty chunks: a trailing space where spaces count, else nothing.
-            lists = self._plain([" " + chunks[i] if self.spaced else chunks[i] for i in odd])
-            at = np.setdiff1d(np.arange(len(chunks)), odd)
+            lists = self._plain([" " + x if self.spaced else x for x in chunks.take(pa.array(odd)).to_pylist()])
             starts, counts = np.zeros(len(chunks), np.int64), np.zeros(len(chunks), np.int64)
             starts[at], counts[at] = start, count
             for i, ids in zip(odd, lists):
@@ -163,7 +167,7 @@ class ChunkEncoder:
         start, count = start[which], count[which]
         if self.spaced:
             # The first chunk of a text has no space before it.
-            heads = self._plain([chunks[which[i]] for i in firsts])
+            heads = self._plain(chunks.take(pa.array(which[firsts])).to_pylist())
             sizes = np.fromiter(map(len, heads), np.int64, len(heads))
             start[firsts] = len(table) + np.cumsum(sizes) - sizes
             count[firsts] = sizes

@@ -1,8 +1,10 @@
 """Packing, sharding, token files, mixing, quality and sentence spans: exact round trips
 and brute force."""
 
+import gc
 import random
 import re
+import tracemalloc
 import zlib
 from collections import defaultdict
 
@@ -20,7 +22,7 @@ from teledex.llm.quality import judge_quality, keep_good
 from teledex.llm.queries import QUERIES
 from teledex.llm.sentence_spans import remove_repeats, sentences
 from teledex.llm.sharding import assign_shards, hilbert_index, write_shards
-from teledex.llm.tokens import encoder
+from teledex.llm.tokens import ChunkEncoder, encoder
 from teledex.storage import listed, shared_folder
 
 
@@ -160,6 +162,24 @@ def test_chunks_give_the_ids_of_whole_texts():
             assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [*want, []]
 
 
+def test_remembered_chunks_take_little_memory():
+    texts = [" ".join(f"{i * 2654435761 % (1 << 32):x}{j}" for j in range(10)) for i in range(4_000)]
+    for file in ("word_bpe_49k.json", "byte_bpe_50k.json"):
+        known = ChunkEncoder(file)
+        want = [x.ids for x in known.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        known.encode(pa.array(["", "a b"]))
+        gc.collect()
+        arrow = pa.total_allocated_bytes()
+        tracemalloc.start()
+        ids, counts = known.encode(pa.array(texts))
+        assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == want
+        del ids, counts
+        gc.collect()
+        held = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - arrow
+        tracemalloc.stop()
+        assert len(known.known) > 30_000 and held < 100 * len(known.known)  # 142 a chunk as Python strings
+
+
 def test_segments_decode_from_any_block_and_notice_damage():
     rng = np.random.default_rng(1)
     ids = np.minimum(rng.zipf(1.3, 70_000), 49_407).astype(np.uint32)
